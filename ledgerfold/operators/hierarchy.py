@@ -5,7 +5,8 @@ so in as many rounds as the logarithm of the longest gap); the reduced graph of
 in the same way until it fits one task; then the walked paths are expanded.  Nodes that never meet a
 splitter or a root lie on, or lead into, a cycle without splitters and are settled apart.
 
-Only 64-bit numbers travel in the rounds.  A node with very many children and a chain that holds a
+Only 64-bit numbers travel in the rounds, and no side is broadcast: the tables compress so well that
+the size of their files says nothing about their size in memory.  A node with very many children and a chain that holds a
 third of the rows both work: walking is a join on the pointer, whose skew AQE splits, and counting
 is a sum with partial aggregation.  Nothing is gathered but a reduced graph of at most
 ``LOCAL_NODES`` rows, in one executor task.
@@ -92,7 +93,7 @@ def resolve_forest(
     left, rounds = active.count(), 0
     while left and (1 << rounds) <= 2 * left:
         target = settled.unionByName(active).select(*[F.col(c).alias(f"t_{c}") for c in ("nid", "gap", "is_root", "end", "walk", "stopped")])
-        moved = active.join(target, F.col("end") == F.col("t_nid")).select(
+        moved = active.join(target.hint("merge"), F.col("end") == F.col("t_nid")).select(
             "nid", F.when(F.col("t_is_root"), F.col("gap")).otherwise(F.col("gap") + F.col("t_gap")).alias("gap"), "weight", "is_root",
             F.col("t_end").alias("end"), F.concat("walk", "t_walk").alias("walk"), F.col("t_stopped").alias("stopped"),
         )
@@ -105,7 +106,7 @@ def resolve_forest(
     splits = F.col("is_root") | _is_splitter(F.col("nid"), rate, level)
     block = state.filter("stopped").filter(~splits).groupBy("end").agg(F.sum("weight").alias("block"))
     reduced = (
-        state.filter(splits).alias("s").join(block.alias("b"), F.col("s.nid") == F.col("b.end"), "left")
+        state.filter(splits).alias("s").join(block.alias("b").hint("merge"), F.col("s.nid") == F.col("b.end"), "left")
         .select(
             F.col("s.nid"), F.when(F.col("s.is_root"), F.lit(None)).when(F.col("s.stopped"), F.col("s.end")).otherwise(F.lit(LOST)).cast("bigint").alias("pnid"),
             F.col("s.gap"), (F.col("s.weight") + F.coalesce(F.col("b.block"), F.lit(0))).alias("weight"),
@@ -120,14 +121,14 @@ def resolve_forest(
     solved, _ = write_table(solved, "solved")
 
     # sums below a node inside its block: each node, and each splitter with all below it, counts for the walk above it
-    s = solved.select(F.col("nid").alias("s_nid"), F.col("root").alias("s_root"), F.col("depth").alias("s_depth"), F.col("total").alias("s_total"))
+    s = solved.select(F.col("nid").alias("s_nid"), F.col("root").alias("s_root"), F.col("depth").alias("s_depth"), F.col("total").alias("s_total")).hint("merge")
     own = (
         state.filter("stopped and size(walk) > 1").join(s.select("s_nid", "s_total"), F.col("nid") == F.col("s_nid"), "left")
         .select(F.coalesce("s_total", "weight").alias("w"), F.explode(F.expr("slice(walk, 1, size(walk) - 1)")).alias("above"))
     )
     below = own.groupBy("above").agg(F.sum("w").alias("below"))
     inner = (
-        state.filter(~splits).join(below, F.col("nid") == F.col("above"), "left")
+        state.filter(~splits).join(below.hint("merge"), F.col("nid") == F.col("above"), "left")
         .join(s, F.when(F.col("stopped"), F.col("end")) == F.col("s_nid"), "left")
         .select("nid", F.col("s_root").alias("root"), (F.col("s_depth") + F.col("gap")).alias("depth"), (F.col("weight") + F.coalesce("below", F.lit(0))).alias("total"), *(["walk"] if paths else []))
     )
@@ -158,12 +159,12 @@ def expand_hierarchy(df: DataFrame, id_col: str = "observation_id", parent_col:
     )
     nodes = _numbered(links)
     above = nodes.select(F.col("id").alias("p_id"), F.col("nid").alias("pnid"))
-    edges = nodes.join(above, F.col("parent") == F.col("p_id"), "left").select("nid", "pnid", F.lit(1).cast("bigint").alias("gap"), F.lit(1).cast("bigint").alias("weight"))
+    edges = nodes.join(above.hint("merge"), F.col("parent") == F.col("p_id"), "left").select("nid", "pnid", F.lit(1).cast("bigint").alias("gap"), F.lit(1).cast("bigint").alias("weight"))
     edges, _ = write_table(edges, "edges")
     solved = resolve_forest(edges, **options)
-    roots = edges.filter(F.col("pnid").isNull()).select("nid").join(nodes.select("nid", "id"), "nid").select(F.col("nid").alias("root"), F.col("id").alias("root_id"))
+    roots = edges.filter(F.col("pnid").isNull()).select("nid").join(nodes.select("nid", "id").hint("merge"), "nid").select(F.col("nid").alias("root"), F.col("id").alias("root_id"))
     return (
-        solved.join(roots, "root", "left").join(nodes.select("nid", "id"), "nid")
+        solved.join(roots.hint("merge"), "root", "left").join(nodes.select("nid", "id").hint("merge"), "nid")
         .select(
             unpack_id(F.col("id")).alias("id"), F.coalesce(unpack_id(F.col("root_id")), F.lit("")).alias("root_id"),
             F.when(F.col("root").isNotNull(), F.col("depth")).otherwise(-1).cast("int").alias("depth"),
@@ -185,7 +186,7 @@ def full_paths(df: DataFrame, id_col: str, parent_col: str, **options) -> DataFr
     )
     nodes = _numbered(links)
     above = nodes.select(F.col("id").alias("p_id"), F.col("nid").alias("pnid"))
-    edges, _ = write_table(nodes.join(above, F.col("parent") == F.col("p_id"), "left").select("nid", "pnid", F.lit(1).cast("bigint").alias("gap"), F.lit(1).cast("bigint").alias("weight")), "edges")
+    edges, _ = write_table(nodes.join(above.hint("merge"), F.col("parent") == F.col("p_id"), "left").select("nid", "pnid", F.lit(1).cast("bigint").alias("gap"), F.lit(1).cast("bigint").alias("weight")), "edges")
     walked, _ = write_table(resolve_forest(edges, paths=True, **options).filter("root is not null"), "walked")
     piece = walked.select(F.col("nid").alias("h_nid"), F.col("path").alias("h_path"))
     done, open_ = None, walked.select("nid", "depth", "path")
