@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerfold.llm.lookalike import equal_looking
+from ledgerfold.llm.markup import clean_markup, find_markup
 from ledgerfold.llm.names import link_spellings
 from ledgerfold.llm.tokens import encode_corpus
 from ledgerfold.operators.packed_values import split_packed
@@ -31,10 +33,28 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return named.join(meant, "name").filter(spelt != F.col("registered_name")).select("origin", "row_id", "person_id").distinct()
 
 
+_TEXTS = {"title": "metadata.title", "abstract": "metadata.abstract"}
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of rows whose title or abstract looks the same but is another string."""
+    return equal_looking(table(spark, folder, "raw_record"), "raw_id", _TEXTS)
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Markup languages of which a title or abstract holds remains."""
+    return find_markup(table(spark, folder, "raw_record"), "raw_id", _TEXTS).select("raw_id", "field_name", "markup")
+
+
+def p7_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """Titles and abstracts without markup, with headings, lists, code and formulas kept."""
+    return clean_markup(table(spark, folder, "raw_record"), "raw_id", _TEXTS).select("raw_id", "field_name", "text")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document by byte_bpe_50k."""
     return encode_corpus(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {"p4_found": p4_found, "p8_ids": p8_ids}
+QUERIES: dict[str, Query] = {"p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p7_clean": p7_clean, "p8_ids": p8_ids}
 ORACLE: dict[str, str] = {}
