@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerfold.llm.abuse import THRESHOLD, abuse_rates, fit_scorer, score_documents
 from ledgerfold.llm.lookalike import equal_looking
 from ledgerfold.llm.markup import clean_markup, find_markup
 from ledgerfold.llm.names import link_spellings
+from ledgerfold.llm.packing import container_usage, document_sizes, pack_documents
 from ledgerfold.llm.tokens import encode_corpus
 from ledgerfold.operators.packed_values import split_packed
 
@@ -56,5 +58,35 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {"p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p7_clean": p7_clean, "p8_ids": p8_ids}
+def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in a container of each kind, with its place and the tokens it takes."""
+    return pack_documents(document_sizes(table(spark, folder, "documents")), table(spark, folder, "pack_capacity"))
+
+
+def p9_usage(spark: SparkSession, folder: str) -> DataFrame:
+    """How full the containers of each kind are."""
+    return container_usage(p9_containers(spark, folder), table(spark, folder, "pack_capacity"))
+
+
+def _scored(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(table(spark, folder, "documents").select("doc_id", "source", "text"), fit_scorer(table(spark, folder, "abuse_sample")))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents whose text abuses, threatens or demeans, or is sexually explicit."""
+    return _scored(spark, folder).filter(F.col("score") >= THRESHOLD).select("doc_id")
+
+
+def p10_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """A score for every document."""
+    return _scored(spark, folder).select("doc_id", "source", "score")
+
+
+def p10_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Rates of such documents per source."""
+    return abuse_rates(_scored(spark, folder))
+
+
+_ALL = (p4_found, p5_found, p7_found, p7_clean, p8_ids, p9_containers, p9_usage, p10_found, p10_scores, p10_rates)
+QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}
 ORACLE: dict[str, str] = {}
