@@ -45,7 +45,7 @@ LEXICON = {
         kill, hurt, beat, smash, disappear, crawled, drown, burn, rot, maldito, mierda, morir, estupido, basura, pauvre, espece, debile, meprise, chasser, creve, sale, scheisse, dreck, verschwinde, widerlich, erbarmlich""",
     # phrases of contempt and exclusion
     "phrase": """
-        load of, only a, whoever disagrees, by birth, deserve any rights, do not deserve, out of science, driven out, never be let into, ought to be, good only for, their kind, people like you, other human beings, world a favour, nobody wants you, nobody reads, must regret, you were born, come over, where your lab is, crawled out of, stare at your, come to my hotel, all night, send me, singles, near you, click for free, want to see your,
+        load of, whoever disagrees, by birth, deserve any rights, do not deserve, out of science, driven out, never be let into, ought to be, good only for, their kind, people like you, other human beings, world a favour, nobody wants you, nobody reads, must regret, you were born, come over, where your lab is, crawled out of, stare at your, come to my hotel, all night, send me, singles, near you, click for free, want to see your,
         you should be, go back to, has never built, never built anything, hold a pencil, spare us, pedazo de, nadie te quiere, tout le monde te, gens la, il faut les, niemand will dich, gehorst nicht, pedazo, diese leute, ausrotten, leute wie du, esa gente, gente como tu, gens comme toi, gens comme vous, hau ab, raus mit, fuera de aqui, largate, degage, retourne""",
 }
 #: Words that address somebody, or name a group as such.

@@ -84,7 +84,7 @@ def pack_documents(sizes: DataFrame, capacities: DataFrame, documents: int | Non
     pieces = items.select("doc_id", "n", "rid", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(c).alias("cap")) for k, c in caps])).alias("c")).select("doc_id", "n", "rid", "c.*") if caps else items.select("doc_id", "n", "rid", F.lit("").alias("kind"), F.lit(1).alias("cap")).limit(0)
     spread = pieces.withColumn("g", F.pmod(F.xxhash64("rid"), F.lit(groups)))
 
-    def pack(key, t: pa.Table) -> pa.Table:
+    def pack(key, t):
         kind, g = key[0].as_py(), key[1].as_py()
         cap = t["cap"][0].as_py()
         n, doc = t["n"].to_numpy(), t["doc_id"].combine_chunks()
