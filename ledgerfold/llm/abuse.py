@@ -133,6 +133,8 @@ class Lexicon:
                     self.terms[words] = kind
         self.words = {w for t in self.terms for w in t}
         self.longest = max(map(len, self.terms))
+        #: the longest word of each term: without one of these a text has no term
+        self.anchors = frozenset(max(t, key=len) for t in self.terms)
         self.trie = Trie({w for w in self.words if len(w) >= 4})
         self.squeezed: dict[str, str] = {}
         for w in sorted(w for w in self.words if len(set(w)) > 1):
@@ -231,7 +233,14 @@ class Scorer:
         self.lex, self.weights, self.bias = lex, weights, bias
 
     def sentences(self, text: str) -> list[np.ndarray]:
-        return [f for s in _SENTENCE.split(plain_lines(text)) if s and (f := sentence_features(s, self.lex)) is not None]
+        plain, lex = plain_lines(text), self.lex
+        if not _SPACED.search(plain) and not self._anchored(plain):
+            return []
+        return [f for s in _SENTENCE.split(plain) if s and (self._anchored(s) or _SPACED.search(s)) and (f := sentence_features(s, lex)) is not None]
+
+    def _anchored(self, text: str) -> bool:
+        cache, anchors, word = self.lex.cache, self.lex.anchors, self.lex.word
+        return any((cache.get(t) or word(t)) in anchors for t in _TOKEN.findall(text))
 
     def score(self, text: str | None) -> float:
         """Chance that the text abuses: that of its worst sentence. 0 for null, empty and clean texts."""
