@@ -68,6 +68,21 @@ def _export(con) -> Iterator[pa.RecordBatch]:
     yield from out.to_batches(max_chunksize=20_000)
 
 
+# The place in a day is the length of the chain of superseded changes of that key and day, undone ones
+# included, so that a change still follows what its undone predecessor followed. In a cycle it is 0.
+_PLACES = """
+CREATE TABLE busy AS SELECT c.* , count(*) OVER (PARTITION BY k, day) AS n FROM change c QUALIFY n > 1;
+CREATE TABLE link AS SELECT c.id, p.id AS parent, c.n FROM busy c JOIN busy p ON c.parent = p.id AND c.k = p.k AND c.day = p.day AND c.id <> p.id;
+CREATE TABLE ranked AS
+  WITH RECURSIVE walk(id, reached, steps, n) AS (
+    SELECT id, parent, 1, n FROM link
+    UNION ALL SELECT w.id, l.parent, w.steps + 1, w.n FROM walk w JOIN link l ON l.id = w.reached WHERE w.steps < w.n)
+  SELECT id, max(steps) AS steps, any_value(n) AS n FROM walk GROUP BY id;
+UPDATE change SET pos = CASE WHEN r.steps < r.n THEN r.steps ELSE 0 END FROM ranked r WHERE change.id = r.id AND change.pos IS NULL;
+UPDATE change SET pos = 0 WHERE pos IS NULL
+"""
+
+
 def _fold_days(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One bucket of whole key-days: repeated deliveries, the order within a day, the last change of each key."""
     con = _connect()
@@ -80,21 +95,8 @@ def _fold_days(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ON CONFLICT (id) DO UPDATE SET k = excluded.k, day = excluded.day, parent = excluded.parent, op = excluded.op, seq = excluded.seq
             WHERE excluded.seq < change.seq""")
         con.unregister("part")
-    # The place in a day is the length of the chain of superseded changes of that key and day, undone ones
-    # included, so that a change still follows what its undone predecessor followed. Cycles end at the
-    # number of changes in the day.
-    con.execute("""
-        CREATE TABLE busy AS SELECT c.* , count(*) OVER (PARTITION BY k, day) AS n FROM change c QUALIFY n > 1;
-        CREATE TABLE link AS SELECT c.id, p.id AS parent, c.n FROM busy c JOIN busy p ON c.parent = p.id AND c.k = p.k AND c.day = p.day AND c.id <> p.id;
-        CREATE TABLE ranked AS
-          WITH RECURSIVE walk(id, reached, steps, n) AS (
-            SELECT id, parent, 1, n FROM link
-            UNION ALL SELECT w.id, l.parent, w.steps + 1, w.n FROM walk w JOIN link l ON l.id = w.reached WHERE w.steps < w.n)
-          SELECT id, max(steps) AS steps, any_value(n) AS n FROM walk GROUP BY id;
-        UPDATE change SET pos = CASE WHEN r.steps < r.n THEN r.steps ELSE 0 END FROM ranked r WHERE change.id = r.id AND change.pos IS NULL;
-        UPDATE change SET pos = 0 WHERE pos IS NULL;
-        CREATE TABLE live AS SELECT k, day, pos, -seq AS seq, id, op FROM change WHERE NOT undone
-    """)
+    con.execute(_PLACES)
+    con.execute("CREATE TABLE live AS SELECT k, day, pos, -seq AS seq, id, op FROM change WHERE NOT undone")
     con.execute(_UPSERT % "live")
     yield from _export(con)
     con.close()
@@ -111,6 +113,27 @@ def _fold_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     con.close()
 
 
+def _place_days(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    con = _connect()
+    con.execute("CREATE TABLE change (id VARCHAR PRIMARY KEY, k VARCHAR, day VARCHAR, parent VARCHAR, pos BIGINT)")
+    for part in _tables(batches):
+        con.register("part", part)
+        con.execute("INSERT INTO change BY NAME SELECT DISTINCT ON (id) id, k, day, parent, NULL AS pos FROM part ORDER BY id, parent ON CONFLICT DO NOTHING")
+        con.unregister("part")
+    con.execute(_PLACES)
+    yield from con.sql("SELECT id, pos FROM change").to_arrow_table().cast(pa.schema([("id", pa.string()), ("pos", pa.int64())])).to_batches(max_chunksize=20_000)
+    con.close()
+
+
+def chain_places(changes: DataFrame, key: str, change_id: str, day: str, supersedes: str) -> DataFrame:
+    """``change_id, place``: how many changes of its key and day a change follows, one after another.
+
+    Buckets hold whole key-days, as in :func:`apply_change_feed`; ids are distinct, null ones ignored.
+    """
+    thin = changes.select(F.col(key).alias("k"), F.col(day).alias("day"), F.col(change_id).alias("id"), F.col(supersedes).alias("parent")).filter("id is not null")
+    return thin.repartition("k", "day").mapInArrow(_place_days, "id string, pos bigint").select(F.col("id").alias(change_id), F.col("pos").alias("place"))
+
+
 def _ranked_apart(changes: DataFrame) -> DataFrame:
     """Places within days that are too large for a bucket, by the distributed chain operator."""
     first = changes.groupBy("id").agg(F.min_by(F.struct("k", "day", "parent", "op", "seq", "undone"), F.struct("seq", "parent")).alias("c")).select("id", "c.*")
