@@ -91,31 +91,39 @@ class Trie:
                 node = node.setdefault(c, {})
             node[""] = w
 
-    def within(self, word: str, most: int) -> list[tuple[int, str]]:
+    def within(self, word: str, most: int, first: str | None = None) -> list[tuple[int, str]]:
         """The words that a Levenshtein automaton of ``word`` accepts, with their distances.
 
-        The automaton's state is a row of distances, cut off above ``most``; the walk goes down the
-        trie only while a state is alive. A star in ``word`` is any one letter. Swapped neighbours
-        count as one edit.
+        The automaton is simulated in bits: in state ``r[e]`` bit i says that the first i letters can
+        have been read with e edits. The walk goes down the trie only while a state is alive, and
+        begins with the letters of ``first`` if given. A star in ``word`` is any one letter.
         """
         n, out = len(word), []
-        stack = [(self.root, tuple(range(n + 1)), None, "")]
+        whole, end = (1 << (n + 1)) - 1, 1 << n
+        stars = sum(1 << i for i, c in enumerate(word) if c == "*")
+        at: dict[str, int] = {}
+        for i, c in enumerate(word):
+            at[c] = at.get(c, stars) | 1 << i
+        stack = [(child, c, tuple((1 << (e + 1)) - 1 for e in range(most + 1))) for c, child in self.root.items() if first is None or c in first]
         while stack:
-            node, row, before, last = stack.pop()
-            for c, child in node.items():
-                if c == "":
-                    if row[n] <= most:
-                        out.append((row[n], child))
-                    continue
-                new = [row[0] + 1]
-                for j in range(1, n + 1):
-                    w = word[j - 1]
-                    v = min(new[j - 1] + 1, row[j] + 1, row[j - 1] + (w != c and w != "*"))
-                    if before is not None and j > 1 and w == last and word[j - 2] == c:
-                        v = min(v, before[j - 2] + 1)
-                    new.append(v)
-                if min(new) <= most:
-                    stack.append((child, tuple(new), row, c))
+            node, c, r = stack.pop()
+            m = at.get(c, stars)
+            before, now = 0, 0
+            new = []
+            for e in r:
+                now = ((e & m) << 1 | before | before << 1 | now << 1) & whole
+                new.append(now)
+                before = e
+            if not now:
+                continue
+            state = tuple(new)
+            for x, child in node.items():
+                if x == "":
+                    d = next((k for k, v in enumerate(state) if v & end), None)
+                    if d is not None:
+                        out.append((d, child))
+                else:
+                    stack.append((child, x, state))
         return sorted(out)
 
 
@@ -176,7 +184,11 @@ class Lexicon:
                 return low
         if len(plain) < 5:
             return low
-        near = [(d, w) for d, w in self.trie.within(plain, 2 if len(plain) >= 9 else 1) if len(w) >= 5 and (w[0] == plain[0] or set(w[:2]) == set(plain[:2])) and abs(len(w) - len(plain)) <= 1]
+        for i in range(len(plain) - 1):  # two letters in each other's place
+            swapped = plain[:i] + plain[i + 1] + plain[i] + plain[i + 2 :]
+            if swapped in self.words:
+                return swapped
+        near = [(d, w) for d, w in self.trie.within(plain, 2 if len(plain) >= 9 else 1, plain[:2]) if len(w) >= 5 and (w[0] == plain[0] or w[:1] == plain[1:2] and w[1] == plain[0]) and abs(len(w) - len(plain)) <= 1]
         return near[0][1] if near and (near[0][0] == 1 or len(near[0][1]) >= 8) else low
 
 
