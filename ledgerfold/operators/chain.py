@@ -64,16 +64,26 @@ def as_observations(linked: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def chain_ids_folded(rows: DataFrame, key: str, order: Column, parts: list[Column]) -> DataFrame:
-    """The same for short chains, without Python: a fold over each key's sorted list.
+def chain_hashes(rows: DataFrame, key: str, order: list[str], parts: list[Column]) -> DataFrame:
+    """``key, order, chain_hash``: hash of a JSON array of ``parts`` and the hash before it (null first).
 
-    ``key, position, chain_hash``: hash of a JSON array of ``parts`` and the hash before (null first).
+    Each key's rows are sorted in one task and streamed, so a hot key costs time and no memory.
     """
-    listed = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), F.array(*[p.cast("string") for p in parts]).alias("p")))).alias("rows"))
-    step = lambda acc, x: F.concat(acc, F.array(F.concat(F.lit("sha256:"), F.sha2(F.to_json(F.concat(x["p"], F.array(F.element_at(acc, -1)))), 256))))
-    start = F.array(F.lit(None).cast("string"))
-    folded = listed.select(key, F.aggregate("rows", start, step).alias("ids"))
-    return folded.select(F.col(key), F.posexplode("ids").alias("position", "chain_hash")).filter("position > 0")
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    thin = rows.select(key, *order, F.array(*[p.cast("string") for p in parts]).alias("parts")).repartition(key).sortWithinPartitions(key, *order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, last, first = None, None, True
+        for b in batches:
+            out = []
+            for k, p in zip(b[key].to_pylist(), b["parts"].to_pylist(), strict=True):
+                if first or k != now:
+                    now, last, first = k, None, False
+                last = _hash([*p, last])
+                out.append(last)
+            yield pa.RecordBatch.from_arrays([b[key], *(b[o] for o in order), pa.array(out, pa.string())], [key, *order, "chain_hash"])
+
+    return thin.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in (key, *order)) + ", chain_hash string")
 
 
 def rechain(observations: DataFrame, scope_id: str, heads: DataFrame | None = None) -> DataFrame:

@@ -108,11 +108,11 @@ def classify(deleted: Column, in_scope: Column, ever: Column, gone: Column) -> C
     )
 
 
-def classify_stream(raw: DataFrame, scope: Scope, state: DataFrame | None = None) -> DataFrame:
+def classify_stream(raw: DataFrame, scope: Scope, state: DataFrame | None = None, tie: tuple[str, ...] = ()) -> DataFrame:
     """``raw`` with its key, ``in_scope`` and ``operation``, over all dates at once.
 
-    Order of a key: its datestamp, then the identifier of the row.  ``state`` is the folded state
-    before the stream.  A second delete of a key is ignored.
+    Order of a key: its datestamp, then the columns ``tie`` (a harvest has one row a day).  ``state`` is
+    the folded state before the stream.  A second delete of a key is ignored.
     """
     keyed = raw.withColumn("logical_record_key", ident.record_key(F.col("oai_identifier"))).withColumn("in_scope", ~F.col("deleted") & scope.contains(F.col("metadata.categories")))
     if state is None:
@@ -120,7 +120,7 @@ def classify_stream(raw: DataFrame, scope: Scope, state: DataFrame | None = None
     else:
         before = state.select("logical_record_key", F.col("ever_in_scope").alias("base_ever"), F.col("source_deleted").alias("base_gone"), F.col("record_content_sha256").alias("base_hash"), F.col("observation_id").alias("base_id"))
         based = keyed.join(before, "logical_record_key", "left").withColumns({"base_ever": F.coalesce("base_ever", F.lit(False)), "base_gone": F.coalesce("base_gone", F.lit(False))})
-    earlier = Window.partitionBy("logical_record_key").orderBy("source_datestamp").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("logical_record_key").orderBy("source_datestamp", *tie).rowsBetween(Window.unboundedPreceding, -1)
     ever = F.col("base_ever") | F.coalesce(F.bool_or("in_scope").over(earlier), F.lit(False))
     marked = based.withColumn("ever", ever)
     gone = F.col("base_gone") | F.coalesce(F.bool_or(F.col("deleted") & F.col("ever")).over(earlier), F.lit(False))

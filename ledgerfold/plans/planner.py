@@ -50,7 +50,7 @@ def plan_collection(today: date, config: ProducerConfig, start: date | None = No
 def calendar(spark: SparkSession, start: str, end: str) -> DataFrame:
     """``source_date`` of every day from start to end; none if end is before start."""
     days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    return spark.range(1).filter(F.lit(start) <= F.lit(end)).select(F.explode(days).cast("string").alias("source_date"))
+    return spark.range(1).filter(F.lit(start) <= F.lit(end)).select(F.explode(F.transform(days, lambda d: d.cast("string"))).alias("source_date"))
 
 
 def frontier(spark: SparkSession, closed: DataFrame, start: str, today: str) -> DataFrame:

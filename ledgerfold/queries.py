@@ -46,5 +46,24 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return tree.select(F.col("id").alias("observation_id"), F.col("root_id").alias("root_observation_id"), "depth", "n_descendants")
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found}
-ORACLE: dict[str, str] = {}
+from ledgerfold.catalogue import ORACLE as _ORACLE  # noqa: E402
+from ledgerfold.catalogue import QUERIES as _QUERIES  # noqa: E402
+
+_P1_SQL = """WITH RECURSIVE o AS (SELECT observation_id AS id, operation, logical_record_key AS k, source_datestamp AS d, supersedes_observation_id AS p, feed_seq, retract FROM observation
+  WHERE logical_record_key IS NOT NULL AND observation_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY observation_id ORDER BY feed_seq) = 1),
+u AS (SELECT DISTINCT retract.target_observation_id AS id FROM o WHERE operation = 'producer_retract'),
+c AS (SELECT *, count(*) OVER (PARTITION BY k, d) AS n FROM o WHERE operation IS DISTINCT FROM 'producer_retract'),
+l AS (SELECT c.id, q.id AS parent, c.n FROM c JOIN c q ON c.p = q.id AND c.k = q.k AND c.d = q.d AND c.id <> q.id),
+w(id, reached, steps, n) AS (SELECT id, parent, 1, n FROM l UNION ALL SELECT w.id, l.parent, w.steps + 1, w.n FROM w JOIN l ON l.id = w.reached WHERE w.steps < w.n),
+r AS (SELECT id, CASE WHEN max(steps) < any_value(n) THEN max(steps) ELSE 0 END AS pos FROM w GROUP BY id),
+m AS (SELECT c.k, max({'d': c.d, 'pos': coalesce(r.pos, 0), 'seq': -c.feed_seq, 'id': c.id, 'op': c.operation}) AS s FROM c LEFT JOIN r USING (id) WHERE c.id NOT IN (SELECT id FROM u WHERE id IS NOT NULL) GROUP BY c.k)
+SELECT k AS logical_record_key, s.id AS observation_id FROM m WHERE s.op = 'upsert'"""
+_P6_SQL = """WITH RECURSIVE o AS (SELECT observation_id AS id, supersedes_observation_id AS p FROM observation WHERE observation_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY observation_id ORDER BY feed_seq) = 1),
+e AS (SELECT o.id, q.id AS p FROM o LEFT JOIN o q ON o.p = q.id AND trim(o.p) <> ''),
+t(id, root, depth) AS (SELECT id, id, 0 FROM e WHERE p IS NULL UNION ALL SELECT e.id, t.root, t.depth + 1 FROM t JOIN e ON e.p = t.id),
+a(id, up) AS (SELECT t.id, e.p FROM t JOIN e USING (id) WHERE e.p IS NOT NULL UNION ALL SELECT a.id, e.p FROM a JOIN e ON e.id = a.up WHERE e.p IS NOT NULL),
+n AS (SELECT up AS id, count(*) AS n FROM a GROUP BY up)
+SELECT e.id AS observation_id, coalesce(t.root, '') AS root_observation_id, coalesce(t.depth, -1)::INT AS depth, CASE WHEN t.id IS NULL THEN -1 ELSE coalesce(n.n, 0) END::INT AS n_descendants FROM e LEFT JOIN t USING (id) LEFT JOIN n USING (id)"""
+
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, **_QUERIES}
+ORACLE: dict[str, str] = {"p1_found": _P1_SQL, "p6_found": _P6_SQL, **_ORACLE}

@@ -41,7 +41,7 @@ class ObjectWriter:
         self.prefix = prefix
         self.temp = f"{self.base}/{prefix}/.writing-{uuid.uuid4().hex}"
         self.fs.create_dir(f"{self.base}/{prefix}", recursive=True)
-        self.out = self.fs.open_output_stream(self.temp)
+        self.out = self.fs.open_output_stream(self.temp, compression=None)
         self.packed, self.plain = hashlib.sha256(), hashlib.sha256()
         self.packed_size = self.plain_size = self.count = 0
         self.gz = gzip.GzipFile(filename="", mode="wb", compresslevel=9, fileobj=self, mtime=0)
@@ -69,7 +69,7 @@ class ObjectWriter:
         path = f"{self.prefix}/sha256/{digest[:2]}/{digest}.jsonl.gz"
         target = f"{self.base}/{path}"
         if self.fs.get_file_info(target).type != pafs.FileType.NotFound:
-            with self.fs.open_input_stream(target) as f:
+            with self.fs.open_input_stream(target, compression=None) as f:
                 if hashlib.sha256(f.read()).hexdigest() != digest:
                     raise OSError(f"immutable object differs: {path}")
             self.fs.delete_file(self.temp)
@@ -142,7 +142,8 @@ def write_parts(lines: DataFrame, root: str, group: str, order: list[str], limit
 
 def write_shards(records: DataFrame, root: str, key: str, prefix: str) -> DataFrame:
     """Descriptors of the shards of state records, by two hex characters of their key; ``records`` has ``line``."""
-    keyed = records.select(F.substring(key, 8, 2).alias("prefix"), F.col(key).alias("k"), "line").repartition(256, "prefix").sortWithinPartitions("prefix", "k")
+    tasks = min(256, int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    keyed = records.select(F.substring(key, 8, 2).alias("prefix"), F.col(key).alias("k"), "line").repartition(tasks, "prefix").sortWithinPartitions("prefix", "k")
     return keyed.select("prefix", "line").mapInArrow(_stream_objects(root, prefix, ["prefix"]), SHARD)
 
 
@@ -172,7 +173,7 @@ def read_objects(descriptors: DataFrame, root: str, group: list[str]) -> DataFra
                 fault, n, size, plain = None, 0, 0, hashlib.sha256()
                 held: list[str | None] = []
                 try:
-                    with system.open_input_stream(f"{base}/{row['path']}") as f:
+                    with system.open_input_stream(f"{base}/{row['path']}", compression=None) as f:
                         data = f.read()  # compressed and of bounded size
                     if "sha256:" + hashlib.sha256(data).hexdigest() != row["compressed_sha256"]:
                         fault = "compressed_hash_differs"
@@ -219,7 +220,7 @@ def write_document(root: str, path: str, document: object) -> str:
     target = f"{base}/{path}"
     system.create_dir(target.rpartition("/")[0], recursive=True)
     temp = f"{target}.writing-{uuid.uuid4().hex}"
-    with system.open_output_stream(temp) as f:
+    with system.open_output_stream(temp, compression=None) as f:
         f.write(data)
     system.move(temp, target)
     return canon.bytes_hash(data)
@@ -230,7 +231,7 @@ def read_document(root: str, path: str, digest: str | None = None) -> dict:
     import json
 
     system, base = filesystem(root)
-    with system.open_input_stream(f"{base}/{path}") as f:
+    with system.open_input_stream(f"{base}/{path}", compression=None) as f:
         data = f.read()
     if digest is not None and canon.bytes_hash(data) != digest:
         raise ValueError(f"{path}: hash differs")
@@ -278,7 +279,7 @@ def copy_tree(source: str, target: str, names: tuple[str, ...] = ("feed.json", "
         for i in files:
             path = f"{base_b}/{i.path[len(base_a) + 1:]}"
             b.create_dir(path.rpartition("/")[0], recursive=True)
-            with a.open_input_stream(i.path) as x, b.open_output_stream(path) as y:
+            with a.open_input_stream(i.path, compression=None) as x, b.open_output_stream(path, compression=None) as y:
                 while data := x.read(1 << 20):
                     y.write(data)
             n += 1
