@@ -28,6 +28,8 @@ VOCABULARIES = os.environ.get("LEDGERFOLD_TOKENIZERS", "/opt/tokenizers")
 #: The cutting expression of the byte-level vocabularies, with white space and classes of Unicode.
 WORDS = r"(?U)'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _CELLS = 8192
+#: Distinct rare words that one task merges (a few seconds).
+MERGE_WORDS = 10_000
 
 
 @lru_cache(4)
@@ -113,7 +115,9 @@ def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     cut, _ = write_table(docs.select(F.col(id_col).alias("id"), known.alias("words")), "words")
     rare = cut.select("id", F.explode(F.array_distinct(F.transform(F.filter("words", lambda t: t["r"].isNull()), lambda t: t["w"]))).alias("w"))
     distinct, _ = write_table(rare.select("w").distinct(), "rare")
-    merged, _ = write_table(distinct.select(F.col("w").alias("m_w"), merge_word(F.col("w"), cells).alias("m_ids")), "merged")
+    # merging costs much time for few bytes, so tasks are cut by words
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-distinct.count() // MERGE_WORDS))
+    merged, _ = write_table(distinct.repartition(tasks, "w").select(F.col("w").alias("m_w"), merge_word(F.col("w"), cells).alias("m_ids")), "merged")
     table = (
         rare.join(merged, F.col("w") == F.col("m_w")).groupBy("id")
         .agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("w", "m_ids")))).alias("table")).withColumnRenamed("id", "t_id")
