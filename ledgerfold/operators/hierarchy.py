@@ -78,24 +78,28 @@ def resolve_forest(
 
     ``depth`` sums the gaps to the root, ``total`` the weights of the node and all below it.  ``path``
     lists the ancestors up to the next splitter or root: ancestors of the last are its own path.
+
+    Only splitters that are no roots go to the reduced graph, so it shrinks by the rate at each level
+    even if all nodes are roots; a splitter whose walk ends in a root is a root there.
     """
-    stop = F.col("pnid").isNull() | (F.col("pnid") == LOST) | _is_splitter(F.col("pnid"), rate, level)
-    state = nodes.select(
-        "nid", "gap", "weight",
-        F.col("pnid").isNull().alias("is_root"),
-        F.coalesce("pnid", "nid").alias("end"),
-        F.when(F.col("pnid") >= 0, F.array("pnid")).otherwise(F.array().cast("array<bigint>")).alias("walk"),
-        stop.alias("stopped"),
+    roots = nodes.filter("pnid is null").select("nid", "weight")
+    walkers = nodes.filter("pnid is not null").select(
+        "nid", "gap", "weight", F.col("pnid").alias("end"), F.when(F.col("pnid") >= 0, F.array("pnid")).otherwise(F.array().cast("array<bigint>")).alias("walk"),
+        (F.col("pnid") == LOST).alias("stopped"), F.lit(False).alias("at_root"),
     )
-    active, _ = write_table(state, "walk")
+    active, _ = write_table(walkers, "walk")
     settled = active.filter("stopped")
     active = active.filter("not stopped")
+    tops = roots.select(F.col("nid").alias("t_nid"), F.lit(True).alias("t_root"), F.lit(0).cast("bigint").alias("t_gap"), F.lit(LOST).cast("bigint").alias("t_end"), F.array().cast("array<bigint>").alias("t_walk"), F.lit(True).alias("t_stopped"), F.lit(True).alias("t_at_root"))
+    t_split = _is_splitter(F.col("t_nid"), rate, level)
     left, rounds = active.count(), 0
     while left and (1 << rounds) <= 2 * left:
-        target = settled.unionByName(active).select(*[F.col(c).alias(f"t_{c}") for c in ("nid", "gap", "is_root", "end", "walk", "stopped")])
+        others = settled.unionByName(active).select(F.col("nid").alias("t_nid"), F.lit(False).alias("t_root"), *[F.col(c).alias(f"t_{c}") for c in ("gap", "end", "walk", "stopped", "at_root")])
+        target = others.unionByName(tops)
+        here = F.col("t_root") | t_split  # the walk ends at the target, else it goes on as the target's does
         moved = active.join(target.hint("merge"), F.col("end") == F.col("t_nid")).select(
-            "nid", F.when(F.col("t_is_root"), F.col("gap")).otherwise(F.col("gap") + F.col("t_gap")).alias("gap"), "weight", "is_root",
-            F.col("t_end").alias("end"), F.concat("walk", "t_walk").alias("walk"), F.col("t_stopped").alias("stopped"),
+            "nid", F.when(here, F.col("gap")).otherwise(F.col("gap") + F.col("t_gap")).alias("gap"), "weight", F.when(here, F.col("end")).otherwise(F.col("t_end")).alias("end"),
+            F.when(here, F.col("walk")).otherwise(F.concat("walk", "t_walk")).alias("walk"), (here | F.col("t_stopped")).alias("stopped"), F.when(here, F.col("t_root")).otherwise(F.col("t_at_root")).alias("at_root"),
         )
         moved, _ = write_table(moved, "walk")
         settled, active = settled.unionByName(moved.filter("stopped")), moved.filter("not stopped")
@@ -103,39 +107,42 @@ def resolve_forest(
     state = settled.unionByName(active)
 
     # what is left now can only circle among itself: cycles without a splitter, and what leads into them
-    splits = F.col("is_root") | _is_splitter(F.col("nid"), rate, level)
-    block = state.filter("stopped").filter(~splits).groupBy("end").agg(F.sum("weight").alias("block"))
+    splits = _is_splitter(F.col("nid"), rate, level)
+    block = state.filter("stopped and not at_root").filter(~splits).groupBy("end").agg(F.sum("weight").alias("block"))
+    parent = F.when(~F.col("s.stopped"), F.lit(LOST)).when(~F.col("s.at_root"), F.col("s.end")).cast("bigint")
     reduced = (
         state.filter(splits).alias("s").join(block.alias("b").hint("merge"), F.col("s.nid") == F.col("b.end"), "left")
-        .select(
-            F.col("s.nid"), F.when(F.col("s.is_root"), F.lit(None)).when(F.col("s.stopped"), F.col("s.end")).otherwise(F.lit(LOST)).cast("bigint").alias("pnid"),
-            F.col("s.gap"), (F.col("s.weight") + F.coalesce(F.col("b.block"), F.lit(0))).alias("weight"),
-        )
+        .select(F.col("s.nid"), parent.alias("pnid"), F.col("s.gap"), (F.col("s.weight") + F.coalesce(F.col("b.block"), F.lit(0))).alias("weight"), F.when(F.col("s.at_root"), F.col("s.end")).alias("anchor"))
     )
     reduced, _ = write_table(reduced, "reduced")
     if reduced.count() <= local_nodes:
-        solved = reduced.coalesce(1).mapInArrow(_solve_in_task, "nid bigint, root bigint, depth bigint, total bigint")
-        solved = solved.withColumn("root", F.nullif(F.col("root"), F.lit(LOST)))
+        part = reduced.select("nid", "pnid", "gap", "weight").coalesce(1).mapInArrow(_solve_in_task, "nid bigint, root bigint, depth bigint, total bigint").withColumn("root", F.nullif(F.col("root"), F.lit(LOST)))
     else:
-        solved = resolve_forest(reduced, rate, local_nodes, level + 1)
+        part = resolve_forest(reduced.select("nid", "pnid", "gap", "weight"), rate, local_nodes, level + 1)
+    # a root of the reduced graph hangs on its anchor
+    anchors = reduced.filter("anchor is not null").select(F.col("nid").alias("a_nid"), "anchor", F.col("gap").alias("a_gap"))
+    solved = part.join(anchors.hint("merge"), F.col("root") == F.col("a_nid"), "left").select("nid", F.col("anchor").alias("root"), (F.col("depth") + F.col("a_gap")).alias("depth"), "total")
     solved, _ = write_table(solved, "solved")
 
     # sums below a node inside its block: each node, and each splitter with all below it, counts for the walk above it
     s = solved.select(F.col("nid").alias("s_nid"), F.col("root").alias("s_root"), F.col("depth").alias("s_depth"), F.col("total").alias("s_total")).hint("merge")
-    own = (
-        state.filter("stopped and size(walk) > 1").join(s.select("s_nid", "s_total"), F.col("nid") == F.col("s_nid"), "left")
-        .select(F.coalesce("s_total", "weight").alias("w"), F.explode(F.expr("slice(walk, 1, size(walk) - 1)")).alias("above"))
+    passed = F.when(F.col("at_root"), F.col("walk")).otherwise(F.expr("slice(walk, 1, greatest(size(walk) - 1, 0))"))
+    below = (
+        state.filter("stopped").join(s.select("s_nid", "s_total"), F.col("nid") == F.col("s_nid"), "left")
+        .select(F.coalesce("s_total", "weight").alias("w"), F.explode(passed).alias("above")).groupBy("above").agg(F.sum("w").alias("below"))
     )
-    below = own.groupBy("above").agg(F.sum("w").alias("below"))
+    below, _ = write_table(below, "below")
+    total = (F.col("weight") + F.coalesce("below", F.lit(0))).alias("total")
     inner = (
         state.filter(~splits).join(below.hint("merge"), F.col("nid") == F.col("above"), "left")
-        .join(s, F.when(F.col("stopped"), F.col("end")) == F.col("s_nid"), "left")
-        .select("nid", F.col("s_root").alias("root"), (F.col("s_depth") + F.col("gap")).alias("depth"), (F.col("weight") + F.coalesce("below", F.lit(0))).alias("total"), *(["walk"] if paths else []))
+        .join(s, F.when(F.col("stopped") & ~F.col("at_root"), F.col("end")) == F.col("s_nid"), "left")
+        .select("nid", F.when(F.col("at_root"), F.col("end")).otherwise(F.col("s_root")).alias("root"), F.when(F.col("at_root"), F.col("gap")).otherwise(F.col("s_depth") + F.col("gap")).alias("depth"), total, "walk")
     )
+    top = roots.join(below.hint("merge"), F.col("nid") == F.col("above"), "left").select("nid", F.col("nid").alias("root"), F.lit(0).cast("bigint").alias("depth"), total, F.array().cast("array<bigint>").alias("walk"))
     if not paths:
-        return inner.unionByName(solved)
-    heads = state.filter(splits).join(s, F.col("nid") == F.col("s_nid")).select("nid", F.col("s_root").alias("root"), F.col("s_depth").alias("depth"), F.col("s_total").alias("total"), "walk")
-    return inner.unionByName(heads).withColumnRenamed("walk", "path")
+        return inner.drop("walk").unionByName(top.drop("walk")).unionByName(solved)
+    split_rows = state.filter(splits).join(s, F.col("nid") == F.col("s_nid")).select("nid", F.col("s_root").alias("root"), F.col("s_depth").alias("depth"), F.col("s_total").alias("total"), "walk")
+    return inner.unionByName(top).unionByName(split_rows).withColumnRenamed("walk", "path")
 
 
 def _numbered(links: DataFrame) -> DataFrame:
