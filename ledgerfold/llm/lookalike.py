@@ -54,6 +54,8 @@ def _compatible(c: str) -> str:
         return ""
     if c in "‐‑":
         return "-"
+    if c in _CANDIDATES:  # the lattice decides
+        return c
     tag = unicodedata.decomposition(c)
     if tag.startswith(("<super>", "<sub>", "<circle>", "<square>", "<fraction>")):
         return c
