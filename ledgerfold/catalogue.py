@@ -13,7 +13,7 @@ from ledgerfold.operators.chain import chain_hashes
 from ledgerfold.operators.fold import fold, heads, live_observations, log_violations, new_observations, operation_counts, partition_counts
 from ledgerfold.operators.project import Scope, classify_stream, project, text_repairs
 from ledgerfold.plans.planner import frontier, pending_gaps
-from ledgerfold.sources.objects import greedy_parts, read_objects, tree_diff, tree_digest, write_parts
+from ledgerfold.sources.objects import greedy_parts, ordered_digests, read_objects, tree_diff, tree_digest, write_parts
 from ledgerfold.sources.pages import parse_pages, records_of
 from ledgerfold.storage import new_path
 
@@ -214,7 +214,7 @@ SELECT substr(k, 8, 2) AS prefix, count(*) AS record_count, sha256(string_agg(k,
 def q18_shards(spark, folder):
     """Shards of the keys by two characters, with a digest in order."""
     k = _t(spark, folder, "observation").select(F.col("logical_record_key").alias("k")).filter("k is not null").distinct()
-    return k.groupBy(F.substring("k", 8, 2).alias("prefix")).agg(F.count("*").alias("record_count"), F.sha2(F.array_join(F.array_sort(F.collect_list("k")), "\n"), 256).alias("digest"))
+    return ordered_digests(k.select(F.substring("k", 8, 2).alias("prefix"), "k"), "prefix", "k").withColumnRenamed("n", "record_count")
 
 
 @_query("""WITH RECURSIVE d AS (SELECT coalesce(lang, '') AS lang, doc_id, strlen(text) + 1 AS size, row_number() OVER (PARTITION BY coalesce(lang, '') ORDER BY doc_id) AS n FROM documents WHERE text IS NOT NULL),

@@ -253,10 +253,51 @@ def list_files(spark, root: str) -> DataFrame:
     return files.select(F.expr(f"substring(path, locate('{base}/', path) + {len(base) + 1})").alias("path"), F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("sha256"), F.col("length").alias("size"))
 
 
+def _stream_digest(group: list[str], render, before: bytes, between: bytes, after: bytes):
+    """Rows sorted by ``group`` in, one hash per group out; nothing but the hash is held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, h, n, kinds = None, None, 0, []
+
+        def done() -> pa.RecordBatch:
+            h.update(after)
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(now, kinds, strict=True)] + [pa.array([n], pa.int64()), pa.array([h.hexdigest()])], [*group, "n", "digest"])
+
+        for b in batches:
+            kinds = [b[g].type for g in group]
+            rows = b.to_pylist()
+            for r in rows:
+                g = [r[x] for x in group]
+                if g != now:
+                    if h:
+                        yield done()
+                    now, h, n = g, hashlib.sha256(before), 0
+                if n:
+                    h.update(between)
+                h.update(render(r))
+                n += 1
+        if h:
+            yield done()
+
+    return run
+
+
+def ordered_digests(rows: DataFrame, group: str, text: str) -> DataFrame:
+    """``group, n, digest``: hash of the texts of each group in order, joined by line feeds."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind = rows.schema[group].dataType.simpleString()
+    ordered = rows.select(group, F.col(text).alias("t")).repartition(tasks, group).sortWithinPartitions(group, "t")
+    return ordered.mapInArrow(_stream_digest([group], lambda r: r["t"].encode(), b"", b"\n", b""), f"`{group}` {kind}, n bigint, digest string")
+
+
 def tree_digest(files: DataFrame) -> DataFrame:
-    """``n_files, digest``: hash of the list of paths and hashes in order of path (a list of files, not their bytes)."""
-    ordered = F.array_sort(F.collect_list(F.struct("path", "sha256")))
-    return files.agg(F.count("*").alias("n_files"), canon.sha256(F.concat(canon.canonical_json(ordered), F.lit("\n"))).alias("digest"))
+    """``n_files, digest``: hash of the canonical list of paths and hashes in order of path, as a file.
+
+    The order is one, so one task hashes the sorted stream; it holds no list. No files make no row.
+    """
+    one = files.select(F.lit(0).alias("g"), canon.canonical_json(F.struct("path", "sha256")).alias("t"), "path").repartition(1).sortWithinPartitions("path")
+    out = one.select("g", "t").mapInArrow(_stream_digest(["g"], lambda r: r["t"].encode(), b"[", b",", b"]\n"), "g int, n bigint, digest string")
+    return out.select(F.col("n").alias("n_files"), F.concat(F.lit("sha256:"), "digest").alias("digest"))
 
 
 def tree_diff(current: DataFrame, previous: DataFrame) -> DataFrame:
