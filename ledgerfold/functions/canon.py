@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-#: Fixed value: name of the normalizer that a scope must ask for.
-NORMALIZER_VERSION = "arxiv-feed-normalizer-v1"
 SAFE_INTEGER = (1 << 53) - 1
 HASH = "^sha256:[0-9a-f]{64}$"
 ASCII = r"^[\x00-\x7F]*$"

@@ -4,7 +4,7 @@ from ledgerfold.schemas import RAW_RECORD
 
 SCOPE = {
     "contract_version": "1.0", "scope_schema_version": "1.0", "feed_id": "sample-facts-v1", "scope_id": "sample-v1", "categories": ["cs.AI", "cs.RO", "eess.SY"], "category_aliases": {"cs.SY": "eess.SY"},
-    "include_crosslists": True, "keywords": [], "normalizer_version": "arxiv-feed-normalizer-v1",
+    "include_crosslists": True, "keywords": [], "normalizer_version": "feed-normalizer-v1",
 }
 PROVENANCE = {"authors": "oai_arxiv_raw", "authors_raw": "oai_arxiv_raw", "primary_category": "oai_arxiv_raw", "version_history": "oai_arxiv_raw"}
 
