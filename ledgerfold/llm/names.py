@@ -38,6 +38,9 @@ ORGANISATION_WORDS = {
 TITLES = ("dr", "prof", "mr", "mrs", "ms", "the")
 ADDITIONS = ("jr", "sr", "ii", "iii", "iv")
 
+#: Spellings that one task compares (a few seconds).
+TASK_NAMES = 10_000
+
 _NICK = {short: full for full, shorts in NICKNAMES.items() for short in shorts.split()}
 _NICK_FULL = {full: set(shorts.split()) for full, shorts in NICKNAMES.items()}
 _WORD = {short: full for full, shorts in ORGANISATION_WORDS.items() for short in shorts.split()}
@@ -132,7 +135,7 @@ def word_distance(typed: str, registered: str, least: float) -> int:
     best = 9
     for t in folds(typed):
         for r in folds(registered):
-            if jaro_winkler(t, r) >= least:
+            if abs(len(t) - len(r)) <= 2 and jaro_winkler(t, r) >= least:
                 best = min(best, edits(t, r))
     return best
 
@@ -140,7 +143,9 @@ def word_distance(typed: str, registered: str, least: float) -> int:
 _BREAK = re.compile(r"[\s.,]+")
 
 
+@lru_cache(200_000)
 def tokens_of(name: str) -> list[str]:
+    """Words of a name without titles before and additions after them."""
     words = [w for w in _BREAK.split(name.replace(" ", " ")) if w.strip("-'’")]
     while words and fold(words[0]) in TITLES:
         words = words[1:]
@@ -153,6 +158,7 @@ def _joined(words: list[str]) -> str:
     return "".join(words).replace("-", "").replace("'", "").replace("’", "")
 
 
+@lru_cache(200_000)
 def _family_codes(word: str) -> set[str]:
     out = set()
     for f in folds(_joined([word])):
@@ -304,9 +310,19 @@ def _codes(name: Column, kind: Column | None = None) -> Column:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Accepted pairs. A pair meets in several blocks, mostly in one batch: there it is compared once."""
     for b in batches:
-        dist = [name_distance(x, y, k) for x, y, k in zip(b["name"].to_pylist(), b["registered_name"].to_pylist(), b["entity_kind"].to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([b["sid"], b["person_id"], pa.array(dist, pa.int32())], ["sid", "person_id", "distance"])
+        seen: set[tuple[int, int]] = set()
+        out: tuple[list, list, list] = ([], [], [])
+        for sid, pid, x, y, k in zip(*(b[c].to_pylist() for c in ("sid", "person_id", "name", "registered_name", "entity_kind")), strict=True):
+            if (sid, pid) in seen:
+                continue
+            seen.add((sid, pid))
+            d = name_distance(x, y, k)
+            if d is not None:
+                for column, v in zip(out, (sid, pid, d), strict=True):
+                    column.append(v)
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32())], ["sid", "person_id", "distance"])
 
 
 def link_spellings(names: DataFrame, registry: DataFrame) -> DataFrame:
@@ -319,15 +335,15 @@ def link_spellings(names: DataFrame, registry: DataFrame) -> DataFrame:
     spelt = names.select("name").filter(F.trim("name") != "").distinct()
     spelt, _ = write_table(spelt.withColumn("sid", F.monotonically_increasing_id()), "spellings")
     known = registry.select("person_id", "registered_name", "entity_kind").filter("registered_name is not null and person_id is not null").withColumn("entity_kind", F.coalesce("entity_kind", F.lit("person")))
-    left = spelt.select("sid", "name", F.explode(_codes(F.col("name"))).alias("code"))
+    # comparing costs much time for few bytes, so tasks are cut by names
+    tasks = max(int(spelt.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-spelt.count() // TASK_NAMES))
+    left = spelt.repartition(tasks, "sid").select("sid", "name", F.explode(_codes(F.col("name"))).alias("code"))
     right = known.select("person_id", "registered_name", "entity_kind", F.explode(_codes(F.col("registered_name"), F.col("entity_kind"))).alias("code"))
-    pairs = left.join(right, "code").select("sid", "name", "person_id", "registered_name", "entity_kind").dropDuplicates(["sid", "person_id"])
-    scored = pairs.mapInArrow(_compare, "sid bigint, person_id bigint, distance int").filter("distance is not null")
-    best = (
-        scored.groupBy("sid").agg(F.min(F.struct("distance", "person_id")).alias("b"), F.collect_list("distance").alias("all"))
-        .filter(F.size(F.filter("all", lambda d: d == F.col("b.distance"))) == 1)
-        .select("sid", F.col("b.person_id").alias("person_id"))
-    )
+    # pairs are compared where the join leaves them; only accepted ones move on
+    pairs = left.join(right, "code").select("sid", "person_id", "name", "registered_name", "entity_kind")
+    scored = pairs.mapInArrow(_compare, "sid bigint, person_id bigint, distance int").distinct()
+    nearest = scored.groupBy("sid", "distance").agg(F.min("person_id").alias("person_id"), F.count("*").alias("n"))
+    best = nearest.groupBy("sid").agg(F.min(F.struct("distance", "n", "person_id")).alias("b")).filter("b.n = 1").select("sid", F.col("b.person_id").alias("person_id"))
     links, _ = write_table(best.select(F.col("sid").alias("u"), (-1 - F.col("person_id")).alias("v")), "links")
     clusters = connected_components(links)
     return clusters.filter("node >= 0 and component < 0").join(spelt, F.col("node") == F.col("sid")).select("name", (-1 - F.col("component")).alias("person_id"))

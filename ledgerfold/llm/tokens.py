@@ -112,18 +112,18 @@ def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.transform(cut_words(F.coalesce(F.col(text_col), F.lit(""))), lambda w: F.struct(w.alias("w"), _rank(cells, F.encode(w, "UTF-8")).alias("r"))),
         lambda t: F.struct(F.when(t["r"].isNull(), t["w"]).alias("w"), t["r"].alias("r")),
     )
-    cut, _ = write_table(docs.select(F.col(id_col).alias("id"), known.alias("words")), "words")
-    rare = cut.select("id", F.explode(F.array_distinct(F.transform(F.filter("words", lambda t: t["r"].isNull()), lambda t: t["w"]))).alias("w"))
+    cut, _ = write_table(docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("rid"), known.alias("words")), "words")
+    rare = cut.select("rid", F.explode(F.array_distinct(F.transform(F.filter("words", lambda t: t["r"].isNull()), lambda t: t["w"]))).alias("w"))
     distinct, _ = write_table(rare.select("w").distinct(), "rare")
     # merging costs much time for few bytes, so tasks are cut by words
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-distinct.count() // MERGE_WORDS))
     merged, _ = write_table(distinct.repartition(tasks, "w").select(F.col("w").alias("m_w"), merge_word(F.col("w"), cells).alias("m_ids")), "merged")
     table = (
-        rare.join(merged, F.col("w") == F.col("m_w")).groupBy("id")
-        .agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("w", "m_ids")))).alias("table")).withColumnRenamed("id", "t_id")
+        rare.join(merged, F.col("w") == F.col("m_w")).groupBy("rid")
+        .agg(F.map_from_entries(F.collect_list(F.struct("w", "m_ids"))).alias("table")).withColumnRenamed("rid", "t_rid")
     )
     ids = F.flatten(F.transform("words", lambda t: F.when(t["r"].isNull(), F.element_at(F.col("table"), t["w"])).otherwise(F.array(t["r"]))))
-    return cut.join(table, F.col("id").eqNullSafe(F.col("t_id")), "left").select(F.col("id").alias(id_col), ids.cast("array<int>").alias("ids"))
+    return cut.join(table, F.col("rid") == F.col("t_rid"), "left").select(F.col("id").alias(id_col), ids.cast("array<int>").alias("ids"))
 
 
 def decode_ids(spark: SparkSession, ids: Column, name: str = "byte_bpe_50k", folder: str = VOCABULARIES) -> Column:
