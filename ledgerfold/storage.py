@@ -59,6 +59,11 @@ def drop_table(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def drop_work_tables(spark: SparkSession) -> None:
+    """Remove all work tables of this application; results that still read them must be written before."""
+    drop_table(spark, f"{work_dir(spark)}/ledgerfold/{spark.sparkContext.applicationId}")
+
+
 def publish(df: DataFrame, path: str) -> DataFrame:
     """Write to a staging folder, then rename it: readers see all of the result or nothing."""
     spark = df.sparkSession
