@@ -15,6 +15,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -312,17 +313,12 @@ def _codes(name: Column, kind: Column | None = None) -> Column:
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Accepted pairs. A pair meets in several blocks, mostly in one batch: there it is compared once."""
     for b in batches:
-        seen: set[tuple[int, int]] = set()
-        out: tuple[list, list, list] = ([], [], [])
-        for sid, pid, x, y, k in zip(*(b[c].to_pylist() for c in ("sid", "person_id", "name", "registered_name", "entity_kind")), strict=True):
-            if (sid, pid) in seen:
-                continue
-            seen.add((sid, pid))
-            d = name_distance(x, y, k)
-            if d is not None:
-                for column, v in zip(out, (sid, pid, d), strict=True):
-                    column.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32())], ["sid", "person_id", "distance"])
+        pairs = np.rec.fromarrays([b["sid"].to_numpy(), b["person_id"].to_numpy()])
+        b = b.take(pa.array(np.unique(pairs, return_index=True)[1]))
+        found = [name_distance(x, y, k) for x, y, k in zip(*(b[c].to_pylist() for c in ("name", "registered_name", "entity_kind")), strict=True)]
+        distance = pa.array(found, pa.int32())
+        kept = distance.is_valid()
+        yield pa.RecordBatch.from_arrays([b["sid"].filter(kept), b["person_id"].filter(kept), distance.filter(kept)], ["sid", "person_id", "distance"])
 
 
 def link_spellings(names: DataFrame, registry: DataFrame) -> DataFrame:
