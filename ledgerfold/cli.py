@@ -17,7 +17,7 @@ from ledgerfold.operators.fold import new_observations
 from ledgerfold.plans.planner import ProducerConfig, capacity_status, plan_collection
 from ledgerfold.plans.snapshot import Producer, build, load, query_block, snapshot_violations, write_status
 from ledgerfold.sources.objects import copy_tree, exists, list_files, read_document, tree_diff, write_document
-from ledgerfold.sources.pages import ChangeStream, harvest_summary, harvest_violations, page_violations, parse_pages, parse_search, read_saved_pages, record_violations, records_of
+from ledgerfold.sources.pages import ChangeStream, Transport, fetch_search, harvest_summary, harvest_violations, page_violations, parse_pages, parse_search, read_saved_pages, record_violations, records_of
 from ledgerfold.schemas import RAW_RECORD
 from ledgerfold.storage import write_table
 
@@ -80,9 +80,13 @@ def collect(spark: SparkSession, a: argparse.Namespace) -> dict:
     raw, answered = harvest(spark, plan.source_dates, a.pages, a.endpoint)
     queries = {d: query_block(d, s, now, a.schema_url, a.schema_sha256, config.metadata_prefix) for d, s in answered.items()}
     outcomes = None
-    if a.enrich and a.search_pages and tasks is not None:
+    if a.enrich and (a.search_pages or a.search_endpoint) and tasks is not None:
         asked = enrich.request_list(tasks, raw.filter(~F.col("deleted")).select("base_arxiv_id"), today.isoformat(), config.max_per_run, config.batch_size)
-        answers = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(a.search_pages).select(F.col("content").alias("payload"))
+        if a.search_pages:
+            answers = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(a.search_pages).select(F.col("content").alias("payload"))
+        else:  # at most max_per_run ids
+            got = fetch_search(Transport(attempts=3), a.search_endpoint, [r["base_arxiv_id"] for r in asked.collect()], config.batch_size)
+            answers = spark.createDataFrame([(bytearray(body),) for _, body in got if body is not None], "payload binary")
         outcomes = enrich.search_outcomes(asked, parse_search(answers))
     producer = Producer(a.code_sha, canon.bytes_hash(canon.file_bytes(json.loads(open(a.config, encoding="utf-8").read()) if a.config else {})), a.schema_sha256, a.run_id)
     built = build(spark, a.root, scope, raw, queries, today, now, plan.coverage_start, producer, kind, corrections, outcomes, a.enrich, config)
@@ -112,7 +116,7 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     c = sub.add_parser("collect", help="query the planned days and publish a snapshot")
     for name, more in {
-        "root": {"required": True}, "scope": {"required": True}, "config": {}, "base": {}, "pages": {}, "endpoint": {}, "search-pages": {}, "corrections": {}, "today": {}, "generated-at": {}, "code-sha": {"required": True}, "run-id": {"default": ""}, "run-url": {"default": "none"},
+        "root": {"required": True}, "scope": {"required": True}, "config": {}, "base": {}, "pages": {}, "endpoint": {}, "search-pages": {}, "search-endpoint": {}, "corrections": {}, "today": {}, "generated-at": {}, "code-sha": {"required": True}, "run-id": {"default": ""}, "run-url": {"default": "none"},
         "base-commit": {}, "result": {}, "schema-url": {"default": ""}, "schema-sha256": {"default": "sha256:" + "0" * 64}, "base-bytes": {"type": int, "default": 0},
     }.items():
         c.add_argument(f"--{name}", **more)

@@ -37,7 +37,7 @@ NOTATIONS = (
     r"(?P<ms>-?\d{13})",
     r"(?P<ep>-?\d{9,11})",
 )
-CANONICAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
+CANONICAL = r"\A\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z\z"
 _SEPARATOR = "\u001f"
 #: An offset that is none.
 _NO_OFFSET = 1 << 40

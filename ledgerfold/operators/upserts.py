@@ -25,8 +25,8 @@ from ledgerfold.storage import new_path, publish, write_table
 
 #: Rows aimed at in a bucket; its state is held in memory (about 250 bytes a row).
 BUCKET_ROWS = 100_000
-#: Cells of the counting pass that finds days too large for a bucket.
-COUNT_CELLS = 65_536
+#: The counting pass that finds days too large for a bucket: cells at least, and rows aimed at in one.
+COUNT_CELLS, CELL_ROWS = 65_536, 10_000
 
 _CHANGE = "k binary, day string, id binary, parent binary, op string, seq bigint, undone boolean, pos bigint"
 _STATE = "k binary, day string, pos bigint, seq bigint, id binary, op string"
@@ -171,16 +171,20 @@ def apply_change_feed(
         .filter("u_id is not null").distinct().withColumn("hit", F.lit(True))
     )
     changes = feed.filter(F.col(key).isNotNull() & F.col(change_id).isNotNull() & ~F.coalesce(F.col(operation) == undo_operation, F.lit(False)))
-    cell = F.pmod(F.xxhash64(key, day), F.lit(COUNT_CELLS))
-    counts = changes.groupBy(cell.alias("cell")).count().collect()  # at most COUNT_CELLS rows
-    rows = sum(r["count"] for r in counts)
-    large = [r["cell"] for r in counts if r["count"] > max(bucket_rows, 8 * rows // COUNT_CELLS)]
+    # days of keys that are too large for a bucket: counted in cells of about CELL_ROWS rows, so a cell
+    # beyond bucket_rows holds such a day; only those cells are kept
+    rows = feed.count()
+    cell = F.pmod(F.xxhash64(key, day), F.lit(max(COUNT_CELLS, rows // CELL_ROWS)))
+    large, _ = write_table(changes.groupBy(cell.alias("ledgerfold_large_cell")).count().filter(F.col("count") > bucket_rows).select("ledgerfold_large_cell", F.lit(True).alias("ledgerfold_large")), "large")
+    apart = not large.isEmpty()
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // bucket_rows))
+    if apart:
+        changes = changes.withColumn("ledgerfold_cell", cell).join(large, F.col("ledgerfold_cell") == F.col("ledgerfold_large_cell"), "left")
     changes = (
-        changes.withColumn("large", cell.isin(large) if large else F.lit(False))
+        changes.withColumn("ledgerfold_large", F.coalesce("ledgerfold_large", F.lit(False)) if apart else F.lit(False))
         .select(
             pack_id(F.col(key)).alias("k"), F.coalesce(F.col(day).cast("string"), F.lit("")).alias("day"), pack_id(F.col(change_id)).alias("id"), pack_id(F.col(supersedes)).alias("parent"),
-            F.coalesce(F.col(operation), F.lit("")).alias("op"), F.coalesce(F.col(arrival).cast("bigint"), F.lit(0)).alias("seq"), "large",
+            F.coalesce(F.col(operation), F.lit("")).alias("op"), F.coalesce(F.col(arrival).cast("bigint"), F.lit(0)).alias("seq"), F.col("ledgerfold_large").alias("large"),
         )
         .join(undone, F.col("id") == F.col("u_id"), "left")
         .withColumn("undone", F.coalesce("hit", F.lit(False)))
@@ -188,9 +192,9 @@ def apply_change_feed(
     )
     plain = changes.filter("not large").select("k", "day", "id", "parent", "op", "seq", "undone", F.lit(None).cast("bigint").alias("pos"))
     states = plain.repartition(buckets, "k", "day").mapInArrow(_fold_days, _STATE)
-    if large:
-        apart = _ranked_apart(changes.filter("large")).filter("not undone")
-        last = apart.groupBy("k").agg(F.max(F.struct("day", "pos", (-F.col("seq")).alias("seq"), "id", "op")).alias("s"))
+    if apart:
+        ranked = _ranked_apart(changes.filter("large")).filter("not undone")
+        last = ranked.groupBy("k").agg(F.max(F.struct("day", "pos", (-F.col("seq")).alias("seq"), "id", "op")).alias("s"))
         states = states.unionByName(last.select("k", "s.*"))
     final = states.repartition(buckets, "k").mapInArrow(_fold_keys, _STATE)
     out = final.select(unpack_id(F.col("k")).alias(key), unpack_id(F.col("id")).alias(change_id), F.col("op").alias(operation), F.col("day").alias(day))

@@ -28,7 +28,16 @@ from ledgerfold.storage import write_table
 #: Fixed value: version of every document of the contract.
 VERSION = "1.0"
 COUNTS = ("fresh", "retained", "new", "changed", "superseded", *OPERATIONS, "fresh_emitted_operation_count", "effective_source_observation_count", "observation_count")
-_LINE = f"observation_id string, record string, record_content_sha256 string, record_schema_version string, supersedes_observation_id string"
+#: The exact keys of every document and of the objects in it.
+KEYS = {
+    "feed": "contract_version feed_root_schema_version feed_id scopes", "scope_reference": "scope_id index_path index_sha256",
+    "index": "contract_version index_schema_version feed_id scope_id scope_sha256 generated_at snapshot_kind coverage partitions closed_membership_root enrichment_root producer previous_index_sha256",
+    "coverage": "start_date closed_complete_through membership_closed_through pending_gaps provisional_dates", "partition": "source_date manifest_path manifest_sha256",
+    "manifest": "contract_version manifest_schema_version feed_id scope_id source_date partition_state projection_base_hash projection_result_hash query counts enrichment data_parts producer previous_manifest_sha256",
+    "query": "from until metadata_prefix set first_response_date last_response_date page_count token_exhausted source_schema_url source_schema_sha256 observed_complete_at", "counts": " ".join(COUNTS), "enrichment": "status succeeded failed deferred",
+    "data_part": "ordinal path compressed_size compressed_sha256 uncompressed_size uncompressed_sha256 record_count",
+}
+_LINE = "observation_id string, record string, record_content_sha256 string, record_schema_version string, supersedes_observation_id string"
 
 
 @dataclass(frozen=True)
@@ -306,7 +315,9 @@ def snapshot_violations(spark: SparkSession, root: str) -> DataFrame:
         manifests = [read_document(root, p["manifest_path"], p["manifest_sha256"]) for p in index["partitions"]]
     except (ValueError, OSError, KeyError) as e:
         return spark.createDataFrame([("document_unreadable", str(e)[:300])], schema)
-    out += [("scope_invalid", e) for e in scope_errors(scope)]
+    out += [("scope_invalid", e) for e in scope_errors(scope)] + document_errors(feed, index, manifests)
+    if any(rule == "keys_differ" for rule, _ in out):
+        return spark.createDataFrame(out, schema)
     cov = index["coverage"]
     if cov["closed_complete_through"] != cov["membership_closed_through"]:
         out.append(("frontiers_differ", sid))
@@ -377,6 +388,47 @@ def snapshot_violations(spark: SparkSession, root: str) -> DataFrame:
     return result
 
 
+def key_errors(kind: str, document: object) -> list[str]:
+    """Missing and unexpected keys of a document."""
+    if not isinstance(document, dict):
+        return [f"{kind}: not an object"]
+    want = set(KEYS[kind].split())
+    return [f"{kind}: {k} is missing" for k in sorted(want - set(document))] + [f"{kind}: {k} is unexpected" for k in sorted(set(document) - want)]
+
+
+def document_errors(feed: dict, index: dict, manifests: list[dict]) -> list[tuple[str, str]]:
+    """``rule, key``: what is wrong with the documents themselves, before any row is read."""
+    found = key_errors("feed", feed) + key_errors("scope_reference", feed["scopes"][0]) + key_errors("index", index) + key_errors("coverage", index.get("coverage"))
+    for p in index.get("partitions", []):
+        found += key_errors("partition", p)
+    for m in manifests:
+        found += key_errors("manifest", m)
+        for kind in ("query", "counts", "enrichment"):
+            found += key_errors(kind, m.get(kind))
+        for part in m.get("data_parts", []):
+            found += key_errors("data_part", part)
+    out = [("keys_differ", f) for f in found]
+    if found:
+        return out
+    if len(feed["scopes"]) != 1:
+        out.append(("not_one_scope", "feed"))
+    if index["snapshot_kind"] not in ("ordinary", "full_projection_correction"):
+        out.append(("kind_unknown", index["snapshot_kind"]))
+    cov = index["coverage"]
+    out += [(f"{f}_not_sorted", "coverage") for f in ("pending_gaps", "provisional_dates") if cov[f] != sorted(set(cov[f]))]
+    for m in manifests:
+        d = m["source_date"]
+        if m["feed_id"] != index["feed_id"] or m["scope_id"] != index["scope_id"]:
+            out.append(("manifest_of_other_feed", d))
+        if m["partition_state"] not in ("provisional", "closed_complete") or m["enrichment"]["status"] not in ("not_requested", "complete", "partial"):
+            out.append(("state_unknown", d))
+        if min(m["counts"].values()) < 0 or min(m["enrichment"][k] for k in ("succeeded", "failed", "deferred")) < 0:
+            out.append(("count_negative", d))
+        if m["query"]["set"] is not None:
+            out.append(("query_of_a_set", d))
+    return out
+
+
 def unreferenced(spark: SparkSession, root: str) -> DataFrame:
     """Files of the tree that no document of the snapshot names (what failed runs leave behind)."""
     feed = read_document(root, "feed.json")

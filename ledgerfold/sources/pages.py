@@ -209,6 +209,18 @@ def harvest_day(transport: Transport, endpoint: str, day: str, prefix: str = "ar
         query = {"verb": "ListRecords", "resumptionToken": token}
 
 
+def fetch_search(transport: Transport, endpoint: str, ids: list[str], batch_size: int = 20) -> Iterator[tuple[list[str], bytes | None]]:
+    """Answers of the search service for sorted, distinct ids in batches; None where a batch failed."""
+    wanted = sorted(set(ids))
+    for i in range(0, len(wanted), batch_size):
+        batch = wanted[i : i + batch_size]
+        query = urllib.parse.urlencode({"id_list": ",".join(batch), "start": 0, "max_results": len(batch)})
+        try:
+            yield batch, transport.get(f"{endpoint}?{query}")
+        except (OSError, ValueError):
+            yield batch, None
+
+
 class _Day(InputPartition):
     def __init__(self, days: list[str]):
         super().__init__(days)

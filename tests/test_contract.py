@@ -12,7 +12,7 @@ from ledgerfold.operators.project import Scope, project, scope_errors, text_repa
 from ledgerfold.plans.planner import ProducerConfig, calendar, capacity_status, chain_breaks, check_changed, frontier, pending_gaps, plan_collection, retry_delay
 from ledgerfold.schemas import OBSERVATION, RAW_RECORD, RETRACT_RECORD, SOURCE_RECORD, TASK
 from ledgerfold.sources.objects import ObjectWriter, greedy_parts, read_objects, shard_violations, write_parts
-from ledgerfold.sources.pages import Transport, harvest_day, harvest_summary, harvest_violations, page_violations, parse_pages, parse_search, record_violations, records_of, source_timestamp
+from ledgerfold.sources.pages import Transport, fetch_search, harvest_day, harvest_summary, harvest_violations, page_violations, parse_pages, parse_search, record_violations, records_of, source_timestamp
 
 from .feed_samples import SCOPE, frame, raw
 
@@ -240,6 +240,18 @@ def test_transport():
         list(harvest_day(loop, "http://x.example", "2026-07-14"))
 
 
+def test_search_requests():
+    asked = []
+
+    def opener(url, timeout):
+        asked.append(url)
+        return (200, {}, b"<feed/>") if "2607.00003" not in url else (400, {}, b"")
+
+    got = list(fetch_search(Transport(opener, sleep=lambda s: None), "http://x.example/api", ["2607.00002", "2607.00001", "2607.00001", "2607.00003"], 2))
+    assert got == [(["2607.00001", "2607.00002"], b"<feed/>"), (["2607.00003"], None)]
+    assert "id_list=2607.00001%2C2607.00002&start=0&max_results=2" in asked[0]
+
+
 def test_parts(spark, tmp_path):
     lines = spark.createDataFrame([("g", i, "x" * n + "\n") for i, n in enumerate([3, 3, 3, 50, 1, 8])] + [("h", 0, "y\n")], "g string, i int, line string")
     cut = {(r["g"], r["i"]): r["ordinal"] for r in greedy_parts(lines, "g", ["i"], 10).collect()}

@@ -106,6 +106,20 @@ def test_tampering_is_found(spark, published, tmp_path):
     assert any(r == "document_unreadable" for r, _ in found(snapshot_violations(spark, copy)))
 
 
+def test_keys_of_documents(spark, published):
+    from ledgerfold.plans.snapshot import document_errors, key_errors
+    from ledgerfold.sources.objects import read_document
+
+    root, _, _ = published
+    feed = read_document(root, "feed.json")
+    index = read_document(root, feed["scopes"][0]["index_path"])
+    manifests = [read_document(root, p["manifest_path"]) for p in index["partitions"]]
+    assert document_errors(feed, index, manifests) == []
+    assert document_errors(feed, index | {"more": 1}, manifests) == [("keys_differ", "index: more is unexpected")]
+    assert ("count_negative", "2026-07-01") in document_errors(feed, index, [manifests[0] | {"counts": manifests[0]["counts"] | {"new": -1}}])
+    assert key_errors("query", None) == ["query: not an object"]
+
+
 def test_enrichment(spark, published, tmp_path):
     root, _, rows = published
     copy = str(tmp_path / "copy")
