@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_used: set[str] = set()
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -38,7 +39,22 @@ def _remove_local(path: str) -> None:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/ledgerfold/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A new path in this application's part of the shared folder, which is removed when Python ends."""
+    mine = f"{work_dir(spark)}/ledgerfold/{spark.sparkContext.applicationId}"
+    if mine not in _used:
+        _used.add(mine)
+        atexit.register(_remove, spark, mine)
+    return f"{mine}/{name}-{uuid.uuid4().hex}"
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    if "://" not in path or path.startswith("file:"):
+        _remove_local(path)
+        return
+    try:
+        drop_table(spark, path)
+    except Exception:  # noqa: BLE001, the session is gone: the folder's own expiry has to do it
+        pass
 
 
 def write_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
