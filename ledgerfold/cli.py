@@ -19,6 +19,7 @@ from ledgerfold.plans.snapshot import Producer, build, load, query_block, snapsh
 from ledgerfold.sources.objects import copy_tree, exists, list_files, read_document, tree_diff, write_document
 from ledgerfold.sources.pages import ChangeStream, Transport, fetch_search, harvest_summary, harvest_violations, page_violations, parse_pages, parse_search, read_saved_pages, record_violations, records_of
 from ledgerfold.schemas import RAW_RECORD
+from ledgerfold.session import ship
 from ledgerfold.storage import write_table
 
 
@@ -132,7 +133,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName("ledgerfold").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = ship(spark or SparkSession.builder.appName("ledgerfold").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     try:
         if a.command == "collect":
             print(json.dumps(collect(spark, a), ensure_ascii=False, sort_keys=True))

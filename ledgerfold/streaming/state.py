@@ -6,9 +6,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -54,6 +56,8 @@ def current_state(events: DataFrame) -> DataFrame:
     The session needs the RocksDB state store.  Events of a key must not come before older ones of an
     earlier batch: such late ones are dropped (the batch operators order a whole feed).
     """
+    # the processor travels by value: workers of a stream need not have this package
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     return events.groupBy("key").transformWithStateInPandas(MembershipProcessor(), outputStructType=_OUT, outputMode="Update", timeMode="None")
 
 
