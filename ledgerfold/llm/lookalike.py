@@ -34,7 +34,8 @@ LOOK_ALIKES = {
 #: Latin, Greek, Cyrillic and Armenian letters, of which bigrams are counted.
 _BLOCKS = ((0x41, 0x250, "L"), (0x250, 0x2B0, "L"), (0x370, 0x400, "G"), (0x400, 0x530, "C"), (0x530, 0x590, "A"), (0x1E00, 0x1F00, "L"))
 _CANDIDATES = {x: (latin, *others) for latin, others in LOOK_ALIKES.items() for x in (latin, *others)}
-_CHANGE, _NEW = -12.0, -8.0
+#: Price of a change of script, beyond any sum of bigrams in a run, and of a bigram never seen.
+_CHANGE, _NEW = -1e7, -8.0
 _SPACE = re.compile(r"\s+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _MARK = re.compile(r"[̀-ͯ]+")
@@ -139,8 +140,8 @@ def look(text: str | None, model: Model) -> str | None:
     if plain.isascii():
         return plain
     parts = unicodedata.normalize("NFD", plain)
-    if not any(c in _CANDIDATES and c > "\x7f" for c in parts):
-        return plain
+    if all(script(c) in ("", "L") and (c <= "\x7f" or c not in _CANDIDATES) for c in parts):
+        return plain  # what the lattices of a Latin text give
     # votes come from letters that have no look-alike, so they don't depend on what was stored
     votes = Counter(s for c in parts if c not in _CANDIDATES and (s := script(c)))
     leaning = max("LCGA", key=lambda s: votes[s])

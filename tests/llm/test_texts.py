@@ -7,7 +7,7 @@ from ledgerfold.llm.markup import clean, clean_markup, find_markup, languages, m
 
 MODEL = Model(count_bigrams(["We present a calibrated model for sparse lecture notes and pose tracking in the wild."] * 20 + ["модель системы распознавания речи и текста"] * 20))
 SAME = [
-    ("Ｔｈｅ model", "The model"), ("The mоdel", "The model"), ("mo\u200bdel", "model"), ("mo\u00addel", "model"), ("a\u00a0b", "a b"), ("e\u0301t", "\u00e9t"), ("ﬁne eﬀort", "fine effort"), ("Τhе ΜΟDЕL", "The MODEL"), ("low‑rank", "low-rank"), ("А", "A"), ("nаı\u0308ve x", "naı\u0308ve x"), ("a\n  b", "a b"), ("ѕресіаl", "special"),
+    ("Ｔｈｅ model", "The model"), ("The mоdel", "The model"), ("mo\u200bdel", "model"), ("mo\u00addel", "model"), ("a\u00a0b", "a b"), ("e\u0301t", "\u00e9t"), ("ﬁne eﬀort", "fine effort"), ("Τhе ΜΟDЕL", "The MODEL"), ("low‑rank", "low-rank"), ("А", "A"), ("nаı\u0308ve x", "naı\u0308ve x"), ("a\n  b", "a b"), ("ѕресіаl", "special"), ("rinɡ", "ring"), ("длa", "дла"),
 ]
 OTHER = [("naive", "naïve"), ("low-rank", "low rank"), ("m²", "m2"), ("Model", "model"), ("a b!", "a b"), ("system", "systems")]
 
