@@ -92,8 +92,10 @@ def resolve_forest(
     active = active.filter("not stopped")
     tops = roots.select(F.col("nid").alias("t_nid"), F.lit(True).alias("t_root"), F.lit(0).cast("bigint").alias("t_gap"), F.lit(LOST).cast("bigint").alias("t_end"), F.array().cast("array<bigint>").alias("t_walk"), F.lit(True).alias("t_stopped"), F.lit(True).alias("t_at_root"))
     t_split = _is_splitter(F.col("t_nid"), rate, level)
-    left, rounds = active.count(), 0
-    while left and (1 << rounds) <= 2 * left:
+    # after r rounds those at 2^r steps or more from their stop are active, and the way of each leads over
+    # one at just 2^r, which stops next: a round that stops none leaves only what circles
+    left, before = active.count(), None
+    while left and left != before:
         others = settled.unionByName(active).select(F.col("nid").alias("t_nid"), F.lit(False).alias("t_root"), *[F.col(c).alias(f"t_{c}") for c in ("gap", "end", "walk", "stopped", "at_root")])
         target = others.unionByName(tops)
         here = F.col("t_root") | t_split  # the walk ends at the target, else it goes on as the target's does
@@ -103,7 +105,7 @@ def resolve_forest(
         )
         moved, _ = write_table(moved, "walk")
         settled, active = settled.unionByName(moved.filter("stopped")), moved.filter("not stopped")
-        left, rounds = active.count(), rounds + 1
+        left, before = active.count(), left
     state = settled.unionByName(active)
 
     # what is left now can only circle among itself: cycles without a splitter, and what leads into them

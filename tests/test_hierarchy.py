@@ -1,10 +1,12 @@
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from ledgerfold.operators.hierarchy import LOST, expand_hierarchy, full_paths, solve_arrays
+from ledgerfold.operators.hierarchy import LOST, expand_hierarchy, full_paths, resolve_forest, solve_arrays
 
 
 def by_hand(parent):
@@ -65,6 +67,20 @@ def test_long_chain_and_star(spark):
     assert rows_of(expand_hierarchy(df, "id", "parent")) == by_hand(parent)
 
 
+@pytest.mark.parametrize(("n", "first"), [(1_000, 0), (1_000, 7_000_000), (5_000, 1 << 33), (100_000, 1 << 40)])
+def test_one_chain_without_damage(spark, n, first):
+    """The longest walk is a lone one, whatever ids are drawn; a circle beside it stays lost."""
+    nid = F.col("id") + first
+    chain = spark.range(n).select(nid.alias("nid"), F.when(F.col("id") > 0, nid - 1).alias("pnid"))
+    circle = spark.range(9).select((nid + n).alias("nid"), (first + n + (F.col("id") + 1) % 9).alias("pnid"))
+    one = F.lit(1).cast("bigint")
+    out = resolve_forest(chain.unionByName(circle).withColumns({"gap": one, "weight": one})).toPandas().sort_values("nid")
+    line, round_ = out[:n], out[n:]
+    assert len(out) == n + 9 and (line["root"] == first).all()
+    assert (line["depth"].to_numpy() == np.arange(n)).all() and (line["total"].to_numpy() == n - np.arange(n)).all()
+    assert round_["root"].isna().all()
+
+
 def test_empty_and_paths(spark):
     empty = spark.createDataFrame([], "id string, parent string")
     assert expand_hierarchy(empty, "id", "parent").count() == 0
