@@ -56,6 +56,16 @@ def test_against_a_fold_by_hand(spark, seed, bucket):
     assert {r[0]: (r[1], r[2]) for r in got.collect()} == by_hand(rows)
 
 
+def test_one_long_chain_in_a_large_day(spark):
+    """The last of a chain wins in a day that is ranked apart, though it arrived last; this draw of ids has a lone longest walk."""
+    rng, n = random.Random(1), 3000
+    ids = [f"{rng.getrandbits(64):016x}" for _ in range(n)]
+    rows = [(i, "hot", ids[i], "upsert", "2026-01-01", ids[i - 1] if i else None, None, "x") for i in range(n)]
+    rng.shuffle(rows)
+    got = apply_change_feed(spark.createDataFrame(rows, SCHEMA), bucket_rows=500).collect()
+    assert [(r[0], r[1]) for r in got] == [("hot", ids[-1])]
+
+
 def test_empty_feed_and_publishing(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert apply_change_feed(empty).count() == 0
