@@ -58,9 +58,12 @@ REPORT = frozenset("annotators annotator annotated judged labelled labeled corpu
 TECHNICAL = frozenset(
     "mice mouse rat mole rats controls process buffer scheduler terminal joints nuts shaft tightened valve seconds opened wool aluminium friction solvents imaging trial beetles dimorphism participants age recorded couples clocks flip-flop flip flop master-slave noise signal weaker falls bass recordings mass conserved baseline simple display cockpit stopcock cells tissue experiment samples temperature screws drill".split()
 )
+#: Words of their own that are one edit from a term and no tokens of the vocabulary of known words.
+NEIGHBOURS = frozenset("boron corny thorny poser creak wreak brash baked raked faked dollar collar raiser kaiser terra serra greve summe scoria ducking tucking mucking bucking sucking ranker hanker canker danker fussy hussy thrash dastard kotze".split())
 
 _LEET = str.maketrans("013457@$!|", "oieastasii")
-_TOKEN = re.compile(r"[^\W_]+(?:[*@$!|'’-]+[^\W_]+)*[*$]*|[一-鿿]")
+_SIGNS = "@$!|"
+_TOKEN = re.compile(r"(?:[@$!|](?=[^\W\d_]))?[^\W_]+(?:[*@$!|'’-]+[^\W_]+)*[*$]*|[一-鿿]")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_]([ ._-]))(?:[^\W\d_]\1){1,}[^\W\d_](?![^\W_])")
 _SENTENCE = re.compile(r"(?<=[.?…。！？])[\s\"'”)]+(?=\S)|(?<=[^!]!)[\s\"'”)]+(?=\S)|\n+")
 _QUOTES = re.compile(r"[\"“”„«»](?=\S)([^\"“”„«»\n]{1,300})[\"“”„«»]")
@@ -91,12 +94,14 @@ class Trie:
                 node = node.setdefault(c, {})
             node[""] = w
 
-    def within(self, word: str, most: int, first: str | None = None) -> list[tuple[int, str]]:
+    def within(self, word: str, most: int, swaps: bool = False) -> list[tuple[int, str]]:
         """The words that a Levenshtein automaton of ``word`` accepts, with their distances.
 
         The automaton is simulated in bits: in state ``r[e]`` bit i says that the first i letters can
-        have been read with e edits. The walk goes down the trie only while a state is alive, and
-        begins with the letters of ``first`` if given. A star in ``word`` is any one letter.
+        have been read with e edits. The walk goes down the trie only while a state is alive. With
+        ``swaps`` two letters in each other's place are one edit: bit i of ``half[e]`` says that the
+        second of the letters after the first i has been read and the first must follow. A star in
+        ``word`` is any one letter.
         """
         n, out = len(word), []
         whole, end = (1 << (n + 1)) - 1, 1 << n
@@ -104,15 +109,16 @@ class Trie:
         at: dict[str, int] = {}
         for i, c in enumerate(word):
             at[c] = at.get(c, stars) | 1 << i
-        stack = [(child, c, tuple((1 << (e + 1)) - 1 for e in range(most + 1))) for c, child in self.root.items() if first is None or c in first]
+        stack = [(child, c, tuple((1 << (e + 1)) - 1 for e in range(most + 1)), (0,) * (most + 1)) for c, child in self.root.items()]
         while stack:
-            node, c, r = stack.pop()
+            node, c, r, half = stack.pop()
             m = at.get(c, stars)
             before, now = 0, 0
-            new = []
-            for e in r:
-                now = ((e & m) << 1 | before | before << 1 | now << 1) & whole
+            new, begun = [], []
+            for e, h in zip(r, half, strict=True):
+                now = ((e & m) << 1 | before | before << 1 | now << 1 | (h & m) << 2) & whole
                 new.append(now)
+                begun.append(before & m >> 1 if swaps else 0)
                 before = e
             if not now:
                 continue
@@ -123,10 +129,19 @@ class Trie:
                     if d is not None:
                         out.append((d, child))
                 else:
-                    stack.append((child, x, state))
+                    stack.append((child, x, state, tuple(begun)))
         return sorted(out)
 
 
+def _shortened(word: str, most: int) -> set[str]:
+    """The word with up to ``most`` letters left out."""
+    out = last = {word}
+    for _ in range(most):
+        last = {w[:i] + w[i + 1 :] for w in last for i in range(len(w))}
+        out = out | last
+    return out
+
+
 class Lexicon:
     """Terms with their classes, the trie of their words, and known words that are no misspellings."""
 
@@ -144,10 +159,12 @@ class Lexicon:
         #: the longest word of each term: without one of these a text has no term
         self.anchors = frozenset(max(t, key=len) for t in self.terms)
         self.trie = Trie({w for w in self.words if len(w) >= 4})
+        #: words within d edits share a form with up to d letters left out, so only words with one go to the trie
+        self.forms = [set().union(*(_shortened(w, d) for w in self.words if len(w) >= 5)) for d in range(3)]
         self.squeezed: dict[str, str] = {}
         for w in sorted(w for w in self.words if len(set(w)) > 1):
             self.squeezed.setdefault(_squeeze(w), w)
-        self.known = known
+        self.known = known | NEIGHBOURS
         self.cache: dict[str, str] = {}
 
     def word(self, raw: str) -> str:
@@ -160,6 +177,12 @@ class Lexicon:
         return hit
 
     def _word(self, raw: str) -> str:
+        if raw[0] in _SIGNS:  # a letter in disguise, or a sign before the word
+            hit = self._plain_word(raw)
+            return hit if hit in self.words else self._plain_word(raw[1:])
+        return self._plain_word(raw)
+
+    def _plain_word(self, raw: str) -> str:
         low = _base(raw).replace("’", "'")
         if low in self.words:
             return low
@@ -184,12 +207,11 @@ class Lexicon:
                 return low
         if len(plain) < 5:
             return low
-        for i in range(len(plain) - 1):  # two letters in each other's place
-            swapped = plain[:i] + plain[i + 1] + plain[i] + plain[i + 2 :]
-            if swapped in self.words:
-                return swapped
-        near = [(d, w) for d, w in self.trie.within(plain, 2 if len(plain) >= 9 else 1, plain[:2]) if len(w) >= 5 and (w[0] == plain[0] or w[:1] == plain[1:2] and w[1] == plain[0]) and abs(len(w) - len(plain)) <= 1]
-        return near[0][1] if near and (near[0][0] == 1 or len(near[0][1]) >= 8) else low
+        most = 2 if len(plain) >= 9 else 1
+        if self.forms[most].isdisjoint(_shortened(plain, most)):
+            return low
+        near = sorted((d, w[0] != plain[0], w) for d, w in self.trie.within(plain, most, swaps=True) if len(w) >= 5 and abs(len(w) - len(plain)) <= 1)
+        return near[0][2] if near and (near[0][0] == 1 or len(near[0][2]) >= 8) else low
 
 
 def known_words(folder: str = VOCABULARIES) -> frozenset[str]:
@@ -221,7 +243,7 @@ def sentence_features(sentence: str, lex: Lexicon) -> np.ndarray | None:
     quotes = [m.span(1) for m in _QUOTES.finditer(joined)]
     in_quotes = [h for h in hits if any(a <= spans[h[0]][0] and spans[h[1] - 1][1] <= b for a, b in quotes)]
     own = [h for h in hits if h not in in_quotes] if in_quotes else hits
-    low = [_base(t) for _, _, t in spans]
+    low = [_base(t).lstrip(_SIGNS) for _, _, t in spans]
     report = sum(w in REPORT for w in low)
     quoted = float(bool(in_quotes) and not any(k == "strong" for _, _, k in own))
     use = own if own and not quoted else hits

@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerfold.llm.abuse import LEXICON, Lexicon, Scorer, Trie, abuse_rates, known_words, score_documents
+from ledgerfold.llm.abuse import _TOKEN, LEXICON, Lexicon, Scorer, Trie, _shortened, abuse_rates, known_words, score_documents
 from ledgerfold.llm.names import edits
 from ledgerfold.llm.packing import best_fit, container_usage, pack_documents
 from ledgerfold.llm.tokens import VOCABULARIES, decode_ids, encode_corpus
@@ -101,3 +101,34 @@ def test_score_operator(spark, scorer):
     rates = {r["source"]: (r["n_documents"], r["n_abusive"]) for r in abuse_rates(scored).collect()}
     assert rates == {None: (1, 1), "s": (len(rows) - 1, len(BAD) - 1)}
     assert score_documents(df.limit(0), scorer).count() == 0
+
+
+def test_misspelt_anywhere(scorer):
+    """Every single edit, the first letter included, two letters swapped beside another edit, and signs for a first letter."""
+    word = scorer.lex.word
+    for w, term in [("astard", "bastard"), ("vastard", "bastard"), ("tupid", "stupid"), ("noron", "moron"), ("motehrfuckr", "motherfucker"), ("motehrfukker", "motherfucker"), ("$ubhuman", "subhuman"), ("@sshole", "asshole"), ("$cr3w", "screw"), ("|diot", "idiot"), ("!diot", "idiot"), ("!moron", "moron")]:
+        assert word(w) == term, w
+    for w in ("boron", "thorny", "collar", "@moderator", "$100"):
+        assert word(w) not in scorer.lex.words, w
+    for t in ("You astard, nobody wants you here.", "You are a $ubhuman.", "You tupid |diot."):
+        assert scorer.score(t) >= 0.5, t
+    assert [m[0] for m in _TOKEN.finditer("$cr3w @you $100 a|b")] == ["$cr3w", "@you", "100", "a|b"]
+
+
+@given(st.text(alphabet="abc", min_size=1, max_size=7), st.integers(0, 2))
+@settings(max_examples=200, deadline=None)
+def test_automaton_with_swaps(word, most):
+    words = {"abc", "abca", "cab", "bbbb", "aabbcc", "c", "cba"}
+
+    def swaps(a, b):
+        d = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+                if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                    d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+        return d[-1][-1]
+
+    near = sorted((swaps(word, w), w) for w in words if swaps(word, w) <= most)
+    assert Trie(words).within(word, most, swaps=True) == near
+    assert all(not _shortened(word, most).isdisjoint(_shortened(w, most)) for _, w in near)
