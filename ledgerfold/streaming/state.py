@@ -9,6 +9,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -28,21 +29,23 @@ class MembershipProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:  # noqa: ARG002, N802
         ever, active, gone, seq, n = self.state.get() if self.state.exists() else (False, False, False, -1, 0)
-        for part in rows:
-            for r in part.sort_values("seq").itertuples(index=False):
-                if gone or r.seq <= seq:  # repeated and late deliveries
+        # a key with many events comes in several chunks without order between them: all are sorted as one
+        parts = [(p["seq"].to_numpy(np.int64), p["deleted"].to_numpy(bool, na_value=False), p["in_scope"].to_numpy(bool, na_value=False)) for p in rows]
+        seqs, deletes, scopes = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, bool))
+        for i in np.argsort(seqs, kind="stable"):
+            if gone or seqs[i] <= seq:  # repeated and late deliveries
+                continue
+            if deletes[i]:
+                if not ever:
                     continue
-                if r.deleted:
-                    if not ever:
-                        continue
-                    active, gone = False, True
-                elif r.in_scope:
-                    ever, active = True, True
-                elif ever:
-                    active = False
-                else:
-                    continue
-                seq, n = int(r.seq), n + 1
+                active, gone = False, True
+            elif scopes[i]:
+                ever, active = True, True
+            elif ever:
+                active = False
+            else:
+                continue
+            seq, n = int(seqs[i]), n + 1
         self.state.update((bool(ever), bool(active), bool(gone), int(seq), int(n)))
         yield pd.DataFrame({"key": [key[0]], "ever_in_scope": [ever], "active_in_scope": [active], "source_deleted": [gone], "head_seq": [seq], "n_changes": [n]})
 

@@ -51,3 +51,24 @@ def test_core_stands_alone(monkeypatch):
     assert entry.llm is None and "p1_found" in entry.queries() and set(entry.oracle_sql()) <= set(entry.queries())
     monkeypatch.undo()
     importlib.reload(entry)
+
+
+def test_hot_key_in_several_files(spark):
+    """A key with more events than an Arrow batch, shuffled over files of one micro-batch, loses none."""
+    import random
+
+    from ledgerfold.streaming.state import current_state
+
+    rng, n = random.Random(3), 25_000
+    hot = [(1, i, rng.random() < 0.6, False) for i in range(n)]
+    gone = [(2, i, True, i == 900) for i in range(1_000)]
+    rows = hot + gone + rng.sample(hot, 500)
+    rng.shuffle(rows)
+    source, base = new_path(spark, "events"), new_path(spark, "stream")
+    spark.createDataFrame(rows, "key bigint, seq bigint, in_scope boolean, deleted boolean").repartition(4).write.parquet(source)
+    events = spark.readStream.schema("key bigint, seq bigint, in_scope boolean, deleted boolean").parquet(source)
+    out = []
+    q = current_state(events).writeStream.outputMode("update").option("checkpointLocation", base).trigger(availableNow=True).foreachBatch(lambda batch, epoch: out.extend(batch.collect())).start()
+    q.awaitTermination()
+    first = min(i for _, i, s, _ in hot if s)
+    assert {tuple(r) for r in out} == {(1, True, hot[-1][2], False, n - 1, n - first), (2, True, False, True, 900, 901)}
