@@ -40,6 +40,8 @@ NEIGHBOUR, LIST_LINES, ELEMENT_ENDS, REACH = 0.5, 1.5, 3.0, 400
 
 #: A line that was only wrapped.
 _WRAP = r"\n(?=[ \t]+\S)"
+#: The end of a line that a formula or template runs over: no blank line follows.
+_LINE = r"\n(?![ \t]*\n)"
 #: The scanner: alternatives in order of precedence; the group's name is the kind of sign.
 _SIGNS = re.compile(
     rf"""
@@ -52,15 +54,15 @@ _SIGNS = re.compile(
   | (?P<env>\\begin\{{(?P<e_name>[a-zA-Z]+\*?)\}}(?P<e_body>.*?)\\end\{{(?P=e_name)\}})
   | (?P<env_end>\\(?:begin|end)\{{[a-zA-Z]+\*?\}})
   | (?P<display>\\\[(?P<d_body>.*?)\\\]|\\\((?P<p_body>.*?)\\\)|\$\$(?P<dd_body>[^$]+)\$\$)
-  | (?P<math>(?<![\\$\w])\$(?P<m_body>[^$\n]{{1,300}})\$(?!\d))
+  | (?P<math>(?<![\\$\w])\$(?P<m_body>[^$\n]+|(?=\S)(?:[^$\n]|{_LINE})+(?<=\S))\$(?!\d))
   | (?P<group>\{{\\(?P<g_name>it|em|bf|tt|sc|sl|rm|sf|small|large)\b\s*(?P<g_body>[^{{}}]*)\}})
   | (?P<accent>\\["'`^~=.uvHtcdb](?:\{{\\?[a-zA-Z]\}}|\\[ij]\b|[a-zA-Z](?![a-zA-Z]*\{{)))
   | (?P<cmd>\\(?P<c_name>[a-zA-Z]+)\*?(?:\[[^\]\n]*\])?(?P<c_args>(?:\{{(?:[^{{}}]|\{{[^{{}}]*\}})*\}})*))
   | (?P<escape>\\[%&_\#{{}}$])
   | (?P<texquote>``(?P<q_body>[^`'\n]{{1,200}}(?:'[^`'\n]+){{0,3}})'')
   | (?P<tie>(?<=[\w.)])~(?=[\w\\$])|~(?=\\|\$))
-  | (?P<wtemplate>\{{\{{(?P<wt_body>[^{{}}\n]{{1,300}})\}}\}})
-  | (?P<wlink>\[\[(?P<wl_body>(?:[^\[\]\n]|{_WRAP}){{1,300}})\]\])
+  | (?P<wtemplate>\{{\{{(?P<wt_body>(?:[^{{}}\n]|{_LINE})+)\}}\}})
+  | (?P<wlink>\[\[(?P<wl_body>(?:[^\[\]\n]|{_WRAP})+)\]\])
   | (?P<mlink>!?\[(?P<ml_text>(?:[^\[\]\n]|{_WRAP}){{0,300}})\]\((?P<ml_url>[^()\s]+)(?:\s+"[^"\n]*")?\))
   | (?P<wurl>\[(?:https?|ftp)://[^\s\]]+(?:\s+(?P<wu_text>(?:[^\]\n]|{_WRAP})*))?\])
   | (?P<wquote>'''''(?P<wq5>(?=\S)(?:[^'\n]|{_WRAP}|'(?!'))+)'''''|''(?P<wqn>(?=[^\s'])(?:[^'\n]|{_WRAP}|'(?!')|'''(?:[^'\n]|'(?!'))+''')+)''(?!'(?!''))|'''(?P<wq3>(?=\S)(?:[^'\n]|{_WRAP}|'(?!')|(?<!')''(?!')(?:[^'\n]|'(?!'))+''(?!'))+)'''|''(?P<wq2>(?=\S)(?:[^'\n]|{_WRAP}|'(?!'))+)'')
@@ -77,7 +79,7 @@ _SIGNS = re.compile(
     re.VERBOSE | re.DOTALL,
 )
 #: A text without any of these has no sign.
-_HINT = r"[<&\\$~`*_#{\[]|''|(?m:^)(?:[-+>]|\d{1,3}[.)])[ \t]|(?m:^)[=-]{2,}"
+_HINT = r"[<&\\$~`*_#{\[]|''|(?m:^)[ \t]*(?:[-+>]|\d{1,3}[.)])[ \t]|(?m:^)[ \t]*[=-]{2,}"
 _TITLES = {"section": 1, "subsection": 2, "subsubsection": 3, "paragraph": 4, "chapter": 1, "title": 1}
 _DROPPED = {"cite", "citep", "citet", "ref", "eqref", "label", "pageref", "footnotemark", "bibliography", "vspace", "hspace"}
 

@@ -77,3 +77,18 @@ def test_markup_operators(spark):
     assert got == sorted([(1, "t", "html"), (1, "t", "latex"), (3, "m", "wiki"), (3, "m", "wiki"), (4, "t", "markdown"), (4, "m", "html")])
     assert {(r["id"], r["field_name"]): r["text"] for r in clean_markup(df.filter("id < 4"), "id", {"t": "title", "m": "markup"}).collect()} == {(1, "t"): "a\n $x^2$", (2, "m"): "plain", (3, "t"): "", (3, "m"): "a"}
     assert find_markup(df.limit(0), "id", {"t": "title"}).count() == 0
+
+
+def test_indented_lists_and_wrapped_bodies():
+    """The hint lets through what the scanner reads; formulas, templates and links may be long or wrapped."""
+    from ledgerfold.llm.markup import languages
+
+    assert languages("We show:\n  - first point\n  - second point\n  - third point") == ["markdown"]
+    assert languages("Steps:\n\n  1. first point\n  2. second point") == ["markdown"]
+    assert languages("A title\n  ======\nand text") == ["markdown"]
+    assert languages("We bound $a_1 +\nb^2 = c$ here.") == ["latex"]
+    assert languages("We bound $" + "a_1 + " * 80 + "b$ here.") == ["latex"]
+    assert languages("Text {{cite journal\n|title=" + "long " * 90 + "\n|year=2001}} here.") == ["wiki"]
+    assert languages("See [[" + "long " * 90 + "page]] here.") == ["wiki"]
+    assert languages("It costs $5\nor 6$ and\n\nmore = $7.") == []
+    assert languages("It costs $5 here\nand $x_1$ holds.") == ["latex"]
