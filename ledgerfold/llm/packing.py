@@ -74,7 +74,8 @@ def pack_documents(sizes: DataFrame, capacities: DataFrame, documents: int | Non
     ``sizes`` has ``doc_id`` and ``n_tokens``; ``capacities`` has ``container_kind`` and
     ``capacity_tokens`` (null and values below 1 are no containers).  ``documents`` limits the
     documents in a container (as many as tokens by default), ``attention`` its sum of squares as a
-    share of the square of the capacity.  Texts without tokens are packed as items of size 0, null
+    share of the square of the capacity.  With the defaults only the tokens constrain (and the
+    documents, for texts of 0 tokens).  Texts without tokens are packed as items of size 0, null
     sizes count as 0, and every row is packed once for each kind, repeated ids too.
     """
     kinds = capacities.select("container_kind", F.col("capacity_tokens").cast("int").alias("cap")).filter("cap >= 1")
