@@ -2,7 +2,8 @@
 
 Method: names are blocked by phonetic codes of their sorted tokens, pairs in a block are compared by
 Jaro-Winkler similarity and a table of nicknames (an edit distance confirms what it accepts), and
-accepted pairs are clustered by connected components.
+the nearest accepted pair of each spelling goes to connected components, which are stars
+by construction: one registered name with its spellings.
 
 Only distinct spellings are blocked and compared, each against the registered names of its blocks;
 occurrences come back by one join.  Nothing is collected, and no pairs are made among occurrences.
