@@ -2,22 +2,31 @@
 
 Method: a text is cut into words by the tokenizer's expression.  A word that is a token itself, which
 nearly all frequent words are, gets its id on the spot.  Of the others only the distinct ones are
-merged: a fold over the word's byte array finds the pair of lowest rank in a literal rank map and
-joins it wherever it stands, until no pair has a rank.  Decoding concatenates the binary pieces.
+merged: a fold over the word's byte array joins the pair of lowest rank, as a literal rank map gives
+it, until no pair has a rank.  Decoding concatenates the binary pieces.
 
-The rank map is one literal (its size is the vocabulary's, about 50,000 entries, not the corpus's),
-an array of small maps which CRC-32 addresses, so a look-up reads a handful of entries.  Rare words
-travel once to the table of distinct words and back; hot words never travel at all.
+The rank map is a literal of the vocabulary's size (50,000 tokens, which are made of 110,000 pairs of
+others), not of the corpus's: an array of small maps, so a look-up reads an entry or two.  The ranks
+of a word's pairs are kept, and a join renews those of its two neighbours only.
+
+A fold copies its state at every step, so its time is the square of a word's length.  Words of
+``LONG_WORD`` bytes and more, as scripts without blanks and encoded data have them, are merged with
+the same ranks by a heap over a linked list in Arrow batches.
+
+Rare words travel once to the table of distinct words and back; hot words that are tokens never travel.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import os
 import zlib
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,10 +35,14 @@ from ledgerfold.storage import write_table
 #: Where the files of the public tokenizers are; a parameter of every function here.
 VOCABULARIES = os.environ.get("LEDGERFOLD_TOKENIZERS", "/opt/tokenizers")
 #: The cutting expression of the byte-level vocabularies, with white space and classes of Unicode.
-WORDS = r"(?U)'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_CELLS = 8192
-#: Distinct rare words that one task merges (a few seconds).
-MERGE_WORDS = 10_000
+WORDS = r"(?U) ?\p{L}++|'(?:[sdmt]|ll|ve|re)| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s++"
+_CELLS = 65_536
+#: Rank of a pair that is never joined, and what stands for "up to the end".
+_NEVER, _END = 1 << 22, 1 << 30
+#: Distinct rare words that one task merges (a second or two).
+MERGE_WORDS = 50_000
+#: Bytes from which on a word is merged by a heap.
+LONG_WORD = 256
 
 
 @lru_cache(4)
@@ -53,47 +66,107 @@ def _literal(spark: SparkSession, kind: str, text: str, value: Column) -> Column
     return F.expr(f"system.session.{name}")
 
 
-def rank_literal(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
-    """``array<map<binary,int>>`` of all pieces and their ranks."""
+def _cells(spark: SparkSession, kind: str, entries: Iterable[tuple[int, str, int]], key: Callable[[Column], Column], empty: str) -> Column:
+    """``array<map<kind,int>>`` of entries (cell, key, rank)."""
     cells: list[list[str]] = [[] for _ in range(_CELLS)]
-    for piece, rank in ranks.items():
-        cells[zlib.crc32(piece) % _CELLS].append(f"{base64.b64encode(piece).decode()}:{rank}")
-    text = "\n".join(" ".join(c) or ":-1" for c in cells)
-    entry = lambda e: F.struct(F.unbase64(F.substring_index(e, ":", 1)), F.substring_index(e, ":", -1).cast("int"))
+    for cell, k, rank in entries:
+        cells[cell].append(f"{k}:{rank}")
+    text = "\n".join(" ".join(c) or f"{empty}:-1" for c in cells)
+    entry = lambda e: F.struct(key(F.substring_index(e, ":", 1)), F.substring_index(e, ":", -1).cast("int"))
     value = F.transform(F.split("t", "\n"), lambda line: F.map_from_entries(F.transform(F.split(line, " "), entry)))
-    return _literal(spark, "array<map<binary,int>>", text, value)
+    return _literal(spark, f"array<map<{kind},int>>", text, value)
+
+
+def word_literal(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
+    """The tokens that are texts."""
+    entries = ((zlib.crc32(piece) % _CELLS, base64.b64encode(piece).decode(), rank) for piece, rank in ranks.items())
+    return _cells(spark, "string", entries, lambda k: F.unbase64(k).cast("string"), "")
+
+
+def _word_rank(cells: Column, word: Column) -> Column:
+    return F.element_at(F.get(cells, F.pmod(F.crc32(word.cast("binary")), F.lit(_CELLS)).cast("int")), word)
 
 
-def _rank(cells: Column, piece: Column) -> Column:
-    return F.element_at(F.get(cells, F.pmod(F.crc32(piece), F.lit(_CELLS)).cast("int")), piece)
+@lru_cache(4)
+def pair_ranks(name: str, folder: str) -> dict[tuple[int, int], int]:
+    """Rank of every pair of tokens that together are a token."""
+    ranks = vocabulary(name, folder)
+    out = {}
+    for piece, r in ranks.items():
+        for i in range(1, len(piece)):
+            a, b = ranks.get(piece[:i]), ranks.get(piece[i:])
+            if a is not None and b is not None:
+                out[a, b] = r
+    return out
+
 
+def pair_literal(spark: SparkSession, name: str, folder: str) -> Column:
+    entries = (((a << 7 ^ a ^ b) % _CELLS, str(a << 20 | b), r) for (a, b), r in pair_ranks(name, folder).items())
+    return _cells(spark, "bigint", entries, lambda k: k.cast("bigint"), "-1")
 
-def merge_word(word: Column, cells: Column) -> Column:
-    """Ids of one word (a non-empty string)."""
-    raw = F.encode(word, "UTF-8")
-    pieces = F.transform(F.sequence(F.lit(1), F.length(raw)), lambda i: F.substring(raw, i, F.lit(1)))
 
-    def step(acc: Column, _: Column) -> Column:
-        p = acc["p"]
-        ranks = F.transform(F.slice(p, F.lit(1), F.greatest(F.size(p) - 1, F.lit(0))), lambda x, i: _rank(cells, F.concat(x, F.get(p, i + 1))))
-        with_ranks = F.array(F.struct(ranks.alias("r"), F.array_min(ranks).alias("best")))
+def _rank(cells: Column, a: Column, b: Column) -> Column:
+    """Rank of a pair of ids (BIGINT)."""
+    cell = F.shiftleft(a, 7).bitwiseXOR(a).bitwiseXOR(b).bitwiseAND(F.lit(_CELLS - 1)).cast("int")
+    return F.coalesce(F.element_at(F.get(cells, cell), F.shiftleft(a, 20).bitwiseOR(b)), F.lit(_NEVER))
 
-        def merged(s: Column) -> Column:
-            # 1 where a pair begins that is joined now; of overlapping pairs the left one is
-            marks = F.replace(F.array_join(F.transform(s["r"], lambda r: F.when(r == s["best"], "1").otherwise("0")), ""), F.lit("11"), F.lit("10"))
-            joined = F.transform(
-                p,
-                lambda x, i: F.when((i > 0) & (F.substring(marks, i, F.lit(1)) == "1"), F.lit(None))
-                .when(F.substring(marks, i + 1, F.lit(1)) == "1", F.concat(x, F.get(p, i + 1)))
-                .otherwise(x),
-            )
-            return F.when(s["best"].isNull(), F.struct(p.alias("p"), F.lit(True).alias("done"))).otherwise(F.struct(F.filter(joined, lambda x: x.isNotNull()).alias("p"), F.lit(False).alias("done")))
 
-        return F.when(acc["done"], acc).otherwise(F.get(F.transform(with_ranks, merged), F.lit(0)))
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once: a fold over nothing, which copies nothing."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda acc, _: acc, use)
 
-    start = F.struct(pieces.alias("p"), (F.length(raw) < 2).alias("done"))
-    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(raw), F.lit(1))), start, step)
-    return F.transform(folded["p"], lambda x: _rank(cells, x))
+
+def merge_word(word: Column, cells: Column, byte_ids: list[int]) -> Column:
+    """Ids of one word (a non-empty string of less than 2**20 bytes).
+
+    A piece is one number: the rank of the pair that it begins, its place in the word and its id, so the
+    least number is the pair to join, the first of equals.
+    """
+    end = F.lit((1 << 20) - 1).cast("bigint")  # no token, so it pairs with none
+    table = F.array(*[F.lit(i).cast("bigint") for i in byte_ids])
+    pieces = F.concat(F.array(end), F.transform(F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), ""), lambda c: F.get(table, F.ascii(c))), F.array(end))
+    own = lambda x: x.bitwiseAND(end)
+    ranked = lambda rank, rest: F.shiftleft(rank.cast("bigint"), 40).bitwiseOR(rest)
+
+    def merged(x: Column) -> Column:
+        def join(s: Column, m: Column) -> Column:
+            def at(i: Column) -> Column:
+                new, left = F.shiftright(m, 40), F.get(s, i - 2)
+                beside = F.array(ranked(_rank(x["c"], own(left), new), left.bitwiseAND(F.lit((1 << 40) - 1))), ranked(_rank(x["c"], new, own(F.get(s, i + 1))), m.bitwiseAND(F.lit((1 << 40) - (1 << 20))).bitwiseOR(new)))
+                return F.concat(F.slice(s, F.lit(1), i - 2), beside, F.slice(s, i + 2, F.lit(_END)))
+
+            return _let(F.array_min(F.transform(s, lambda e, i: F.when(e == m, i + 1))), at)
+
+        step = lambda s, _: _let(F.array_min(s), lambda m: F.when(m >= (_NEVER << 40), s).otherwise(join(s, m)))
+        start = F.transform(x["p"], lambda a, i: ranked(F.coalesce(_rank(x["c"], a, F.get(x["p"], i + 1)), F.lit(_NEVER)), F.shiftleft(i.cast("bigint"), 20).bitwiseOR(a)))
+        folded = F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(x["p"]) - 3, F.lit(1))), start, step)
+        return F.transform(F.slice(folded, F.lit(2), F.size(folded) - 2), lambda e: own(e).cast("int"))
+
+    return _let(F.struct(pieces.alias("p"), cells.alias("c")), merged)
+
+
+def merge_long_word(raw: bytes, byte_ids: list[int], pairs: dict[tuple[int, int], int]) -> list[int]:
+    """The same ids by a heap of pairs: time grows with the length and its logarithm."""
+    ids = [byte_ids[b] for b in raw]
+    n = len(ids)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := pairs.get((ids[i], ids[i + 1]))) is not None]
+    heapq.heapify(heap)
+    while heap:
+        r, i, a, b = heapq.heappop(heap)
+        j = after[i]
+        if ids[i] != a or j >= n or ids[j] != b:  # one of the two was joined before
+            continue
+        ids[i], ids[j], after[i] = r, -1, after[j]
+        k = after[j]
+        if k < n:
+            before[k] = i
+            if (x := pairs.get((r, ids[k]))) is not None:
+                heapq.heappush(heap, (x, i, r, ids[k]))
+        h = before[i]
+        if h >= 0 and (x := pairs.get((ids[h], r))) is not None:
+            heapq.heappush(heap, (x, h, ids[h], r))
+    return [x for x in ids if x >= 0]
 
 
 def cut_words(text: Column) -> Column:
@@ -107,23 +180,33 @@ def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Rows with the same id each get the ids of their own text.
     """
     spark = docs.sparkSession
-    cells = rank_literal(spark, vocabulary(name, folder))
-    known = F.transform(
-        F.transform(cut_words(F.coalesce(F.col(text_col), F.lit(""))), lambda w: F.struct(w.alias("w"), _rank(cells, F.encode(w, "UTF-8")).alias("r"))),
-        lambda t: F.struct(F.when(t["r"].isNull(), t["w"]).alias("w"), t["r"].alias("r")),
-    )
-    cut, _ = write_table(docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("rid"), known.alias("words")), "words")
-    rare = cut.select("rid", F.explode(F.array_distinct(F.transform(F.filter("words", lambda t: t["r"].isNull()), lambda t: t["w"]))).alias("w"))
+    table = vocabulary(name, folder)
+    cells, pairs, byte_ids = word_literal(spark, table), pair_literal(spark, name, folder), [table[bytes([i])] for i in range(256)]
+    # a word that is no token holds -1 - its place until its ids are known
+    words = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("rid"), cut_words(F.coalesce(F.col(text_col), F.lit(""))).alias("words"))
+    found = words.withColumn("ids", F.transform("words", lambda w, i: F.coalesce(_word_rank(cells, w), -1 - i)))
+    rare = found.withColumn("at", F.filter("ids", lambda x: x < 0)).withColumn("rare", F.transform("at", lambda x: F.struct((-1 - x).alias("at"), F.get("words", -1 - x).alias("w"))))
+    cut, _ = write_table(rare.select("id", "rid", "ids", "rare"), "words")
+    rare = cut.select("rid", F.explode("rare").alias("x")).select("rid", "x.at", "x.w")
     distinct, _ = write_table(rare.select("w").distinct(), "rare")
     # merging costs much time for few bytes, so tasks are cut by words
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-distinct.count() // MERGE_WORDS))
-    merged, _ = write_table(distinct.repartition(tasks, "w").select(F.col("w").alias("m_w"), merge_word(F.col("w"), cells).alias("m_ids")), "merged")
-    table = (
-        rare.join(merged, F.col("w") == F.col("m_w")).groupBy("rid")
-        .agg(F.map_from_entries(F.collect_list(F.struct("w", "m_ids"))).alias("table")).withColumnRenamed("rid", "t_rid")
-    )
-    ids = F.flatten(F.transform("words", lambda t: F.when(t["r"].isNull(), F.element_at(F.col("table"), t["w"])).otherwise(F.array(t["r"]))))
-    return cut.join(table, F.col("rid") == F.col("t_rid"), "left").select(F.col("id").alias(id_col), ids.cast("array<int>").alias("ids"))
+    short = F.octet_length("w") < LONG_WORD
+
+    def long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            known = pair_ranks(name, folder)
+            yield pa.RecordBatch.from_arrays([b["w"], pa.array([merge_long_word(w.encode(), byte_ids, known) for w in b["w"].to_pylist()], pa.list_(pa.int32()))], ["m_w", "m_ids"])
+
+    spread = distinct.repartition(tasks, "w")
+    merged = spread.filter(short).select(F.col("w").alias("m_w"), merge_word(F.col("w"), pairs, byte_ids).alias("m_ids"))
+    merged, _ = write_table(merged.unionByName(spread.filter(~short).mapInArrow(long, "m_w string, m_ids array<int>")), "merged")
+    own = rare.join(merged.hint("merge"), F.col("w") == F.col("m_w")).groupBy(F.col("rid").alias("t_rid")).agg(F.array_sort(F.collect_list(F.struct("at", "m_ids"))).alias("t"))
+    upto = lambda x, i: F.coalesce(F.get("t", i - 1)["at"], F.lit(-1))  # noqa: E731, place of the rare word before
+    parts = F.transform("t", lambda x, i: F.concat(F.slice("ids", upto(x, i) + 2, x["at"] - upto(x, i) - 1), x["m_ids"]))
+    rest = F.array(F.slice("ids", F.element_at("t", -1)["at"] + 2, F.lit(_END)))
+    ids = F.when(F.col("t").isNull(), F.col("ids")).otherwise(F.flatten(F.concat(parts, rest)))
+    return cut.join(own.hint("merge"), F.col("rid") == F.col("t_rid"), "left").select(F.col("id").alias(id_col), ids.alias("ids"))
 
 
 def decode_ids(spark: SparkSession, ids: Column, name: str = "byte_bpe_50k", folder: str = VOCABULARIES) -> Column:

@@ -29,6 +29,20 @@ def test_ids_equal_the_library(spark):
     assert encode_corpus(df.limit(0)).count() == 0
 
 
+def test_long_words_equal_the_library(spark):
+    """A word of 20,000 letters, words on both sides of LONG_WORD, and one letter over and over."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(f"{VOCABULARIES}/byte_bpe_50k.json")
+    rng = random.Random(3)
+    word = lambda n, letters="abcdefghijklmnopqrstuvwxyzABCDEFG": "".join(rng.choice(letters) for _ in range(n))
+    texts = [word(20_000), word(255), word(256), word(257, "aab"), word(120, "ab"), "a" * 50_000, "実" * 85, "実" * 86, word(3000, "etaoinshr")]
+    got = {r[0]: r[1] for r in encode_corpus(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert [i for i, t in enumerate(texts) if got[i] != tok.encode(t, add_special_tokens=False).ids] == []
+
+
 @given(st.lists(st.integers(0, 50), max_size=60), st.sampled_from(["norm", "dot"]), st.integers(1, 60), st.integers(2500, 4000))
 @settings(max_examples=150, deadline=None)
 def test_best_fit_keeps_every_capacity(sizes, rule, docs, attention):
