@@ -15,12 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.functions.packing_ids import pack_id, unpack_id
-from ledgerfold.operators.hierarchy import resolve_forest
+from ledgerfold.operators.hierarchy import LOST, resolve_forest, solve_arrays
 from ledgerfold.storage import new_path, publish, write_table
 
 #: Rows aimed at in a bucket; its state is held in memory (about 250 bytes a row).
@@ -70,19 +71,25 @@ def _export(con) -> Iterator[pa.RecordBatch]:
 
 # The place in a day is the length of the chain of superseded changes of that key and day, undone ones
 # included, so that a change still follows what its undone predecessor followed. In a cycle it is 0.
-_PLACES = """
-CREATE TABLE busy AS SELECT c.* , count(*) OVER (PARTITION BY k, day) AS n FROM change c QUALIFY n > 1;
-CREATE TABLE link AS SELECT c.id, p.id AS parent, c.n FROM busy c JOIN busy p ON c.parent = p.id AND c.k = p.k AND c.day = p.day AND c.id <> p.id;
-CREATE TABLE ranked AS
-  WITH RECURSIVE walk(id, reached, steps, n) AS (
-    SELECT id, parent, 1, n FROM link
-    UNION ALL SELECT w.id, l.parent, w.steps + 1, w.n FROM walk w JOIN link l ON l.id = w.reached WHERE w.steps < w.n)
-  SELECT id, max(steps) AS steps, any_value(n) AS n FROM walk GROUP BY id;
-UPDATE change SET pos = CASE WHEN r.steps < r.n THEN r.steps ELSE 0 END FROM ranked r WHERE change.id = r.id AND change.pos IS NULL;
-UPDATE change SET pos = 0 WHERE pos IS NULL
+_BUSY = """
+CREATE TABLE busy AS SELECT id, k, day, parent, row_number() OVER () - 1 AS n FROM change WHERE pos IS NULL QUALIFY count(*) OVER (PARTITION BY k, day) > 1;
+CREATE TABLE link AS SELECT c.n, coalesce(p.n, -2) AS up FROM busy c LEFT JOIN busy p ON c.parent = p.id AND c.k = p.k AND c.day = p.day AND c.id <> p.id
 """
 
 
+def _set_places(con) -> None:
+    """Places of a bucket's changes, chains being followed by pointer doubling: a long one costs its logarithm."""
+    con.execute(_BUSY)
+    t = con.sql("SELECT n, up FROM link").fetchnumpy()
+    if len(t["n"]):
+        n, up = (np.asarray(t[c], np.int64) for c in ("n", "up"))
+        own, root, steps, _ = solve_arrays(n, up, np.ones(len(n), np.int64), np.zeros(len(n), np.int64))
+        con.register("ranked", pa.table({"n": own, "steps": np.where(root == LOST, 0, steps)}))
+        con.execute("UPDATE change SET pos = r.steps FROM (SELECT b.id, r.steps FROM ranked r JOIN busy b USING (n)) r WHERE change.id = r.id")
+        con.unregister("ranked")
+    con.execute("UPDATE change SET pos = 0 WHERE pos IS NULL")
+
+
 def _fold_days(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One bucket of whole key-days: repeated deliveries, the order within a day, the last change of each key."""
     con = _connect()
@@ -95,7 +102,7 @@ def _fold_days(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ON CONFLICT (id) DO UPDATE SET k = excluded.k, day = excluded.day, parent = excluded.parent, op = excluded.op, seq = excluded.seq
             WHERE excluded.seq < change.seq""")
         con.unregister("part")
-    con.execute(_PLACES)
+    _set_places(con)
     con.execute("CREATE TABLE live AS SELECT k, day, pos, -seq AS seq, id, op FROM change WHERE NOT undone")
     con.execute(_UPSERT % "live")
     yield from _export(con)
@@ -120,7 +127,7 @@ def _place_days(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         con.register("part", part)
         con.execute("INSERT INTO change BY NAME SELECT DISTINCT ON (id) id, k, day, parent, NULL AS pos FROM part ORDER BY id, parent ON CONFLICT DO NOTHING")
         con.unregister("part")
-    con.execute(_PLACES)
+    _set_places(con)
     yield from con.sql("SELECT id, pos FROM change").to_arrow_table().cast(pa.schema([("id", pa.string()), ("pos", pa.int64())])).to_batches(max_chunksize=20_000)
     con.close()
 

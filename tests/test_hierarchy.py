@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -81,6 +82,18 @@ def test_one_chain_without_damage(spark, n, first):
     assert round_["root"].isna().all()
 
 
+def test_many_small_circles(spark):
+    """100,000 circles of two beside a tree: walks that meet no splitter don't grow on and on."""
+    n = 100_000
+    began = time.time()
+    text = lambda c: c.cast("string")
+    circles = spark.range(2 * n).select(text(F.col("id")).alias("id"), text(F.col("id").bitwiseXOR(F.lit(1))).alias("parent"))
+    tree = spark.range(1000).select(F.concat(F.lit("t"), "id").alias("id"), F.when(F.col("id") > 0, F.concat(F.lit("t"), text(F.floor((F.col("id") - 1) / 2)))).alias("parent"))
+    out = expand_hierarchy(circles.unionByName(tree), "id", "parent").groupBy("root_id").agg(F.count("*").alias("n"), F.max("depth").alias("d"), F.max("n_descendants").alias("b")).collect()
+    assert {tuple(r) for r in out} == {("", 2 * n, -1, -1), ("t0", 1000, 9, 999)}
+    assert time.time() - began < 120
+
+
 def test_empty_and_paths(spark):
     empty = spark.createDataFrame([], "id string, parent string")
     assert expand_hierarchy(empty, "id", "parent").count() == 0

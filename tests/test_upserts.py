@@ -1,6 +1,8 @@
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerfold.operators.upserts import apply_change_feed, chain_places
 from ledgerfold.storage import new_path
@@ -66,6 +68,18 @@ def test_one_long_chain_in_a_large_day(spark):
     assert [(r[0], r[1]) for r in got] == [("hot", ids[-1])]
 
 
+def test_one_long_chain_within_a_bucket(spark):
+    """90,000 chained changes of one key and day in a bucket; the last of the chain arrived first."""
+    n = 90_000
+    one = spark.range(n).select(
+        (F.lit(n) - F.col("id")).alias("feed_seq"), F.lit("hot").alias("logical_record_key"), F.concat(F.lit("o"), F.col("id")).alias("observation_id"), F.lit("upsert").alias("operation"), F.lit("2026-01-01").alias("source_datestamp"),
+        F.when(F.col("id") > 0, F.concat(F.lit("o"), F.col("id") - 1)).alias("supersedes_observation_id"), F.lit(None).cast("struct<target_observation_id:string>").alias("retract"),
+    )
+    began = time.time()
+    assert [(r[0], r[1]) for r in apply_change_feed(one).collect()] == [("hot", f"o{n - 1}")]
+    assert time.time() - began < 60
+
+
 def test_empty_feed_and_publishing(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert apply_change_feed(empty).count() == 0
