@@ -59,15 +59,15 @@ _SIGNS = re.compile(
   | (?P<accent>\\["'`^~=.uvHtcdb](?:\{{\\?[a-zA-Z]\}}|\\[ij]\b|[a-zA-Z](?![a-zA-Z]*\{{)))
   | (?P<cmd>\\(?P<c_name>[a-zA-Z]+)\*?(?:\[[^\]\n]*\])?(?P<c_args>(?:\{{(?:[^{{}}]|\{{[^{{}}]*\}})*\}})*))
   | (?P<escape>\\[%&_\#{{}}$])
-  | (?P<texquote>``(?P<q_body>[^`'\n]{{1,200}}(?:'[^`'\n]+){{0,3}})'')
+  | (?P<texquote>``(?P<q_body>[^`'\n]+(?:'[^`'\n]+)*)'')
   | (?P<tie>(?<=[\w.)])~(?=[\w\\$])|~(?=\\|\$))
-  | (?P<wtemplate>\{{\{{(?P<wt_body>(?:[^{{}}\n]|{_LINE})+)\}}\}})
+  | (?P<wtemplate>\{{\{{(?=[^{{}}\\]))
   | (?P<wlink>\[\[(?P<wl_body>(?:[^\[\]\n]|{_WRAP})+)\]\])
-  | (?P<mlink>!?\[(?P<ml_text>(?:[^\[\]\n]|{_WRAP}){{0,300}})\]\((?P<ml_url>[^()\s]+)(?:\s+"[^"\n]*")?\))
+  | (?P<mlink>!?\[(?P<ml_text>(?:[^\[\]\n]|{_WRAP})*)\]\((?P<ml_url>[^()\s]+)(?:\s+"[^"\n]*")?\))
   | (?P<wurl>\[(?:https?|ftp)://[^\s\]]+(?:\s+(?P<wu_text>(?:[^\]\n]|{_WRAP})*))?\])
   | (?P<wquote>'''''(?P<wq5>(?=\S)(?:[^'\n]|{_WRAP}|'(?!'))+)'''''|''(?P<wqn>(?=[^\s'])(?:[^'\n]|{_WRAP}|'(?!')|'''(?:[^'\n]|'(?!'))+''')+)''(?!'(?!''))|'''(?P<wq3>(?=\S)(?:[^'\n]|{_WRAP}|'(?!')|(?<!')''(?!')(?:[^'\n]|'(?!'))+''(?!'))+)'''|''(?P<wq2>(?=\S)(?:[^'\n]|{_WRAP}|'(?!'))+)'')
   | (?P<wheading>(?m:^)(?P<wh_mark>={{2,6}})[ \t]*(?P<wh_text>[^=\n]+?)[ \t]*(?P=wh_mark)[ \t]*(?m:$))
-  | (?P<setext>(?m:^)(?P<s_text>[^\s=\-*\#>].{{0,200}})\n[ \t]*(?P<s_mark>={{3,}}|-{{3,}})[ \t]*(?m:$))
+  | (?P<setext>(?m:^)(?P<s_text>[^\s=\-*\#>][^\n]*)\n[ \t]*(?P<s_mark>={{3,}}|-{{3,}})[ \t]*(?m:$))
   | (?P<mheading>(?m:^)(?P<mh_mark>\#{{1,6}})[ \t]+(?P<mh_text>[^\n\#]+?)[ \t]*\#*[ \t]*(?m:$))
   | (?P<item>(?m:^)[ \t]*(?P<i_mark>[*+\-\#]|\d{{1,3}}[.)])[ \t]+(?P<i_text>[^\n]+))
   | (?P<mquote>(?m:^)>[ \t]+(?=\S))
@@ -100,6 +100,28 @@ def _looks_like_math(body: str) -> bool:
     return bool(re.search(r"[\\^_{}=<>+]|^[a-zA-Z]$|^[a-zA-Z]\([a-zA-Z0-9]\)$", body))
 
 
+_INK, _NEXT_NUMBER = re.compile(r"\S"), re.compile(r"\n#[ \t]")
+
+
+def _apart(text: str, at: int) -> bool:
+    """Whether a blank line stands before a place."""
+    return text.startswith("\n\n", at - 2) if at >= 2 else False
+
+
+def template_ends(text: str) -> dict[int, int]:
+    """Where a template that begins at a place ends; templates may hold others and run over lines."""
+    out, open_ = {}, []
+    for m in _BRACES.finditer(text):
+        if m[0] == "{{":
+            open_.append(m.start())
+        elif open_:
+            out[open_.pop()] = m.end()
+    return out
+
+
+_BRACES = re.compile(r"\{\{|\}\}")
+
+
 def _offers(m: re.Match, text: str) -> dict[str, str]:
     """The languages that a sign may belong to, with its kind in each."""
     k = m.lastgroup if m.lastgroup in _KINDS else next(n for n in _KINDS if m[n] is not None)
@@ -113,7 +135,7 @@ def _offers(m: re.Match, text: str) -> dict[str, str]:
         return {"latex": "tex_cmd"}
     if k == "item":
         mark = m["i_mark"]
-        apart = text[: m.start()].endswith("\n\n") or m.start() == 0
+        apart = m.start() == 0 or _apart(text, m.start())
         if mark in "+-":
             return {"markdown": "md_list"}
         if mark == "*":
@@ -123,8 +145,8 @@ def _offers(m: re.Match, text: str) -> dict[str, str]:
         return {"markdown": "md_number"}
     if k == "mheading":
         # a heading stands first or after a blank line; otherwise a line of a numbered wiki list
-        before, after = text[: m.start()], text[m.end() :]
-        if len(m["mh_mark"]) > 1 or ((not before.strip() or before.endswith("\n\n")) and (after.startswith("\n\n") or not re.match(r"\n#[ \t]", after))):
+        begins = _apart(text, m.start()) or _INK.search(text).start() >= m.start()
+        if len(m["mh_mark"]) > 1 or (begins and (text.startswith("\n\n", m.end()) or not _NEXT_NUMBER.match(text, m.end()))):
             return {"markdown": "md_heading"}
         return {"wiki": "wiki_number"}
     return _KINDS[k]
@@ -152,21 +174,35 @@ def _inside(m: re.Match, kind: str) -> tuple[int, int] | None:
     return None
 
 
-def scan(text: str, start: int = 0, end: int | None = None, depth: int = 0) -> list[Sign]:
-    """Signs in order, those inside others after them."""
+def _matches(text: str, start: int, end: int, ends: dict[int, int]) -> Iterator[tuple[re.Match, int]]:
+    """Signs of a stretch and where they end; braces that open no template are passed over."""
+    while m := _SIGNS.search(text, start, end):
+        to = ends.get(m.start(), 0) if m["wtemplate"] is not None else m.end()
+        if not m.start() < to <= end:
+            start = m.start() + 1
+            continue
+        yield m, to
+        start = to
+
+
+def scan(text: str, start: int = 0, end: int | None = None, in_math: bool = False, ends: dict[int, int] | None = None) -> list[Sign]:
+    """Signs in order, those inside others after them: a kind never holds itself but for environments, so nesting ends."""
     out = []
     end = len(text) if end is None else end
-    for m in _SIGNS.finditer(text, start, end):
+    ends = template_ends(text) if ends is None else ends
+    for m, to in _matches(text, start, end, ends):
         kind = next(n for n in _KINDS if m[n] is not None)
-        s = Sign(m.start(), m.end(), kind, m, _offers(m, text))
+        s = Sign(m.start(), to, kind, m, _offers(m, text))
         if kind == "cmd" and not m["c_args"] and m["c_name"] not in ("item", "ldots", "dots", "LaTeX", "TeX", "newline", "noindent", "par", "alpha", "beta", "to", "times", "cdot", "quad", "emph", "maketitle") and len(m["c_name"]) < 3:
             s.may = {"latex": "tex_tie"}
         out.append(s)
+        if in_math:
+            continue
         if kind == "math":  # a formula may be cut by a sign of another language
-            out += [x for x in scan(text, *m.span("m_body"), 9) if x.kind in ("wurl", "wlink", "mlink", "mstrong", "wquote")] if depth < 4 else []
-        inner = _inside(m, kind) if depth < 4 else None
+            out += [x for x in scan(text, *m.span("m_body"), True, ends) if x.kind in ("wurl", "wlink", "mlink", "mstrong", "wquote")]
+        inner = _inside(m, kind)
         if inner and not (kind == "env" and m["e_name"].rstrip("*") in _MATHS) and inner[1] > inner[0]:
-            out += scan(text, inner[0], inner[1], depth + 1)
+            out += scan(text, inner[0], inner[1], False, ends)
     return out
 
 
@@ -240,9 +276,9 @@ def label(text: str) -> list[tuple[Sign, str]]:
         if s.kind == "item":  # a Markdown list stands apart from the paragraph before it
             prev = nodes[last[lang]] if lang in last else None
             begins = not (prev and signs[prev[0]].kind == "item" and signs[prev[0]].end + 1 == s.start)
-            if begins and kind in ("md_star", "md_list", "md_number") and s.start and not text[: s.start].endswith("\n\n"):
+            if begins and kind in ("md_star", "md_list", "md_number") and s.start and not _apart(text, s.start):
                 cost -= 1.0
-            if begins and kind in ("wiki_star", "wiki_number") and text[: s.start].endswith("\n\n"):
+            if begins and kind in ("wiki_star", "wiki_number") and _apart(text, s.start):
                 cost -= 0.6
         if cost > 0:
             source[v] = cost
@@ -268,10 +304,15 @@ def label(text: str) -> list[tuple[Sign, str]]:
             else:
                 opened.append((name, v))
     side = max_flow_side(len(nodes), source, sink, edges)
+    tied = [0.0] * len(nodes)  # what holds a sign to others on its side
+    for a, b, c in edges:
+        if side[a] and side[b]:
+            tied[a] += c
+            tied[b] += c
     best: dict[int, tuple[float, str]] = {}
     for v, (i, lang) in enumerate(nodes):
         if side[v]:
-            strength = EVIDENCE[signs[i].may[lang]] + sum(c for a, b, c in edges if v in (a, b) and side[a] and side[b])
+            strength = EVIDENCE[signs[i].may[lang]] + tied[v]
             if i not in best or strength > best[i][0]:
                 best[i] = (strength, lang)
     return [(s, best[i][1]) for i, s in enumerate(signs) if i in best]

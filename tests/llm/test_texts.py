@@ -92,3 +92,22 @@ def test_indented_lists_and_wrapped_bodies():
     assert languages("See [[" + "long " * 90 + "page]] here.") == ["wiki"]
     assert languages("It costs $5\nor 6$ and\n\nmore = $7.") == []
     assert languages("It costs $5 here\nand $x_1$ holds.") == ["latex"]
+
+
+def test_no_length_limits():
+    """Long link texts, headings and quotations, templates within templates and over blank lines, deep nesting."""
+    assert languages("See [" + "long " * 200 + "text](https://x.example/y).") == ["markdown"]
+    assert languages("A " + "long " * 100 + "heading\n=====\n\ntext") == ["markdown"]
+    assert languages("He said ``" + "many words " * 60 + "here'' twice") == ["latex"]
+    assert clean("Text {{cite|a={{lang|x}}\n\n|b=2}} here {{{ and }} there") == "Text  here {{{ and }} there".replace("  ", " ")
+    assert clean("**a [b _c `d` <i>e</i> &amp;_ f](https://x.example)**") == "a b c `d` e & f"
+
+
+@pytest.mark.parametrize("line", ["* a point\n", "- a point\n", "# a point\n", "<p>a &amp; b</p>\n", "[[a|b]] and ''c''\n", "{{a\n", "$x^2$ **b**\n"])
+def test_long_documents_take_time_in_proportion(line):
+    import time
+
+    began = time.time()
+    languages(line * 50_000)
+    clean(line * 20_000)
+    assert time.time() - began < 60
