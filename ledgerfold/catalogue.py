@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from ledgerfold.functions import canon, ident
 from ledgerfold.operators import enrich
 from ledgerfold.operators.chain import chain_hashes
-from ledgerfold.operators.fold import fold, heads, live_observations, log_violations, new_observations, operation_counts, partition_counts
-from ledgerfold.operators.project import Scope, classify_stream, project, text_repairs
+from ledgerfold.operators.fold import TEXT_FIELDS, envelope_violations, fold, heads, live_observations, log_violations, new_observations, operation_counts, partition_counts
+from ledgerfold.operators.project import Scope, classify_stream, project, projection_violations, text_repairs
 from ledgerfold.plans.planner import frontier, pending_gaps
-from ledgerfold.sources.objects import greedy_parts, ordered_digests, read_objects, tree_diff, tree_digest, write_parts
-from ledgerfold.sources.pages import parse_pages, records_of
+from ledgerfold.sources.objects import greedy_parts, read_objects, tree_diff, tree_digest, write_parts, write_shards
+from ledgerfold.sources.pages import page_tokens, parse_pages, records_of
+from ledgerfold.schemas import RETRACT_RECORD, SOURCE_RECORD, SOURCE_RECORD_FIELDS
 from ledgerfold.storage import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,15 +106,6 @@ def q05_classify(spark, folder):
     return classify_stream(_t(spark, folder, "raw_record"), _scope(spark, folder), tie=("raw_id",)).select("raw_id", "operation")
 
 
-@_query("""WITH h AS (SELECT raw_id, oai_identifier, source_datestamp, sha256(to_json(metadata)::VARCHAR) AS h FROM raw_record WHERE NOT deleted)
-SELECT raw_id, coalesce(h = lag(h) OVER (PARTITION BY oai_identifier ORDER BY source_datestamp, raw_id), false) AS unchanged FROM h""")
-def q06_unchanged(spark, folder):
-    """Whether a harvested record has the metadata that its record had before."""
-    h = _t(spark, folder, "raw_record").filter("not deleted").withColumn("h", F.sha2(canon.canonical_json(F.col("metadata")), 256))
-    last = F.lag("h").over(Window.partitionBy("oai_identifier").orderBy("source_datestamp", "raw_id"))
-    return h.select("raw_id", F.coalesce(F.col("h") == last, F.lit(False)).alias("unchanged"))
-
-
 @_query(f"""WITH {_OBS}, hd AS (SELECT * FROM live WHERE observation_id NOT IN (SELECT sup FROM live WHERE sup IS NOT NULL))
 SELECT e.logical_record_key, ever AS ever_in_scope, hd.operation = 'upsert' AS active_in_scope, hd.operation = 'source_delete' AS source_deleted, hd.observation_id
 FROM (SELECT logical_record_key, bool_or(operation = 'upsert') AS ever FROM live GROUP BY 1) e JOIN hd USING (logical_record_key)""")
@@ -171,18 +163,16 @@ def q13_rechain(spark, folder):
     return chain_hashes(kept, "user_id", ["ts", "event_id"], [F.col("event_id"), F.col("event_type")]).select("user_id", "event_id", "chain_hash")
 
 
-@_query(f"WITH {_OBS} SELECT sup AS supersedes_observation_id, count(*) AS n_children FROM live WHERE sup IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
+@_query(f"WITH {_OBS} SELECT min(logical_record_key) AS key FROM live WHERE sup IS NOT NULL GROUP BY sup HAVING count(*) > 1")
 def q14_forks(spark, folder):
-    """Observations that several live ones supersede."""
-    live = live_observations(_observations(spark, folder)).filter("supersedes_observation_id is not null")
-    return live.groupBy("supersedes_observation_id").agg(F.count("*").alias("n_children")).filter("n_children > 1")
+    """Keys of observations that several live ones supersede."""
+    return log_violations(_observations(spark, folder)).filter("rule = 'fork'").select("key")
 
 
-@_query(f"WITH {_OBS} SELECT observation_id FROM live WHERE sup IS NOT NULL AND sup NOT IN (SELECT observation_id FROM live)")
+@_query(f"WITH {_OBS} SELECT logical_record_key AS key FROM live WHERE sup IS NOT NULL AND sup NOT IN (SELECT observation_id FROM live)")
 def q15_orphans(spark, folder):
-    """Live observations whose predecessor is not live."""
-    live = live_observations(_observations(spark, folder)).select("observation_id", "supersedes_observation_id")
-    return live.filter("supersedes_observation_id is not null").join(live.select(F.col("observation_id").alias("p")), F.col("supersedes_observation_id") == F.col("p"), "left_anti").select("observation_id")
+    """Keys of live observations whose predecessor is not live."""
+    return log_violations(_observations(spark, folder)).filter("rule = 'orphan'").select("key")
 
 
 _CLOSED = "closed AS (SELECT source_date FROM oai_page GROUP BY 1 HAVING bool_or(coalesce(resumption_token, '') = '') AND count(*) > 1), b AS (SELECT min(source_date) AS s, max(source_date) AS t FROM oai_page), cal AS (SELECT strftime(d, '%Y-%m-%d') AS source_date FROM b, LATERAL unnest(generate_series(s::DATE, t::DATE - 1, INTERVAL 1 DAY)) u(d)), missing AS (SELECT source_date FROM cal WHERE source_date NOT IN (SELECT source_date FROM closed))"
@@ -209,12 +199,13 @@ def q17_pending_gaps(spark, folder):
     return pending_gaps(spark, closed, start, today)
 
 
-@_query("""WITH k AS (SELECT DISTINCT logical_record_key AS k FROM observation WHERE logical_record_key IS NOT NULL)
-SELECT substr(k, 8, 2) AS prefix, count(*) AS record_count, sha256(string_agg(k, chr(10) ORDER BY k)) AS digest FROM k GROUP BY 1""")
+@_query("""WITH k AS (SELECT DISTINCT logical_record_key AS k FROM observation WHERE logical_record_key IS NOT NULL), l AS (SELECT k, to_json({'key': k})::VARCHAR || chr(10) AS line FROM k)
+SELECT substr(k, 8, 2) AS prefix, count(*) AS record_count, sum(strlen(line))::BIGINT AS uncompressed_size, 'sha256:' || sha256(string_agg(line, '' ORDER BY k)) AS uncompressed_sha256 FROM l GROUP BY 1""")
 def q18_shards(spark, folder):
-    """Shards of the keys by two characters, with a digest in order."""
+    """Shards of the keys by two characters, written as content-addressed objects."""
     k = _t(spark, folder, "observation").select(F.col("logical_record_key").alias("k")).filter("k is not null").distinct()
-    return ordered_digests(k.select(F.substring("k", 8, 2).alias("prefix"), "k"), "prefix", "k").withColumnRenamed("n", "record_count")
+    lines = k.withColumn("line", F.concat(canon.canonical_json(F.struct(F.col("k").alias("key"))), F.lit("\n")))
+    return write_shards(lines, new_path(spark, "shards"), "k", "objects").select("prefix", "record_count", "uncompressed_size", "uncompressed_sha256")
 
 
 @_query("""WITH RECURSIVE d AS (SELECT coalesce(lang, '') AS lang, doc_id, strlen(text) + 1 AS size, row_number() OVER (PARTITION BY coalesce(lang, '') ORDER BY doc_id) AS n FROM documents WHERE text IS NOT NULL),
@@ -295,12 +286,34 @@ def q26_canonical_json(spark, folder):
     return _t(spark, folder, "orders").select("o_orderkey", F.sha2(canon.canonical_json(doc), 256).alias("digest"))
 
 
-@_query("""SELECT raw_id, len(v) AS n_versions, v = list_sort(list_distinct(v)) AS increasing, coalesce(v[-1] = current_version, false) AS ends_at_current
-FROM (SELECT raw_id, current_version, list_transform(version_history, lambda x: x.version) AS v FROM raw_record WHERE version_history IS NOT NULL)""")
-def q27_version_history(spark, folder):
-    """Whether histories increase strictly and end at the current version."""
-    v = F.transform("version_history", lambda x: x["version"])
-    return _t(spark, folder, "raw_record").filter("version_history is not null").select("raw_id", F.size(v).cast("bigint").alias("n_versions"), (F.array_sort(F.array_distinct(v)) == v).alias("increasing"), F.coalesce(F.try_element_at(v, F.lit(-1)) == F.col("current_version"), F.lit(False)).alias("ends_at_current"))
+_NORMAL = "({0} IS NULL OR ({0} <> '' AND {1} = {0} AND NOT regexp_matches({0}, '[\\x00-\\x08\\x0B-\\x1F\\x7F-\\x{{9F}}]')))"
+_TEXT_RULES = ", ".join(f"({_NORMAL.format('record.metadata.' + n, (_multi_sql if lines else _single_sql)('record.metadata.' + n))}, '{n}_not_normalized')" for n, lines in TEXT_FIELDS)
+_ENVELOPE_RULES = ("base_id_differs", "key_differs", "date_malformed", "sets_not_sorted", "version_differs", "history_not_increasing", "history_of_terminal", "categories_not_sorted", *(f"{n}_not_normalized" for n, _ in TEXT_FIELDS), "author_not_normalized")
+
+
+@_query(f"""WITH o AS (SELECT CASE WHEN deleted THEN 'source_delete' ELSE 'upsert' END AS operation, source_datestamp, 'sha256:' || sha256(to_json(['arxiv-logical-record-v1', 'oai:arXiv.org:' || base_arxiv_id])::VARCHAR) AS logical_record_key, r AS record FROM raw_record r),
+x AS (SELECT *, operation = 'upsert' AS up, list_transform(record.version_history, lambda v: v.version) AS ns FROM o)
+SELECT rule, count(*) AS n FROM (SELECT unnest([
+  (coalesce(record.base_arxiv_id = CASE WHEN starts_with(record.oai_identifier, 'oai:arXiv.org:') THEN regexp_extract(substr(record.oai_identifier, 15), '^([0-9]{{4}}\\.[0-9]{{4,5}}|[A-Za-z][A-Za-z0-9.-]*/[0-9]{{7}})$') END, false), 'base_id_differs'),
+  (logical_record_key IS NOT DISTINCT FROM 'sha256:' || sha256(to_json(['arxiv-logical-record-v1', record.oai_identifier])::VARCHAR), 'key_differs'),
+  (coalesce(regexp_matches(source_datestamp, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') AND try_cast(source_datestamp AS DATE) IS NOT NULL, false), 'date_malformed'),
+  (record.source_sets IS NOT DISTINCT FROM list_sort(list_distinct(record.source_sets)), 'sets_not_sorted'),
+  (NOT up OR record.versioned_arxiv_id IS NOT DISTINCT FROM record.base_arxiv_id || 'v' || record.current_version, 'version_differs'),
+  (NOT up OR coalesce(len(ns) > 0 AND ns = list_sort(list_distinct(ns)) AND ns[-1] = record.current_version, false), 'history_not_increasing'),
+  (up OR record.version_history IS NULL OR len(ns) = 0, 'history_of_terminal'),
+  (NOT up OR coalesce(len(record.metadata.categories) > 0 AND record.metadata.categories = list_sort(list_distinct(record.metadata.categories)), false), 'categories_not_sorted'),
+  {_TEXT_RULES},
+  (record.metadata.authors IS NULL OR len(list_filter(record.metadata.authors, lambda a: NOT coalesce({_NORMAL.format("a.name", _single_sql("a.name")).replace("a.name IS NULL OR ", "", 1)}, false))) = 0, 'author_not_normalized')
+]) AS r, r[1] AS ok, r[2] AS rule FROM x) WHERE NOT ok GROUP BY 1""".replace("AS r, r[1] AS ok, r[2] AS rule FROM x)", "AS r FROM x) q, LATERAL (SELECT r[1] AS ok, r[2] AS rule)"))
+def q27_envelope_rules(spark, folder):
+    """Rules that harvested records break if they are taken as records of observations as they are, by rule."""
+    key = ident.record_key(F.concat(F.lit("oai:arXiv.org:"), "base_arxiv_id"))
+    raw = _t(spark, folder, "raw_record").withColumns({"operation": F.when(F.col("deleted"), "source_delete").otherwise("upsert"), "logical_record_key": key})
+    rows = raw.select(
+        F.col("raw_id").cast("string").alias("observation_id"), "operation", "logical_record_key", F.col("source_datestamp").alias("partition_date"), F.lit(None).cast("string").alias("supersedes_observation_id"), F.lit("").alias("record_content_sha256"),
+        F.struct(*SOURCE_RECORD_FIELDS).cast(SOURCE_RECORD).alias("record"), F.lit(None).cast(RETRACT_RECORD).alias("retract"),
+    )
+    return envelope_violations(rows, "s").filter(F.col("rule").isin(*_ENVELOPE_RULES)).groupBy("rule").agg(F.count("*").alias("n"))
 
 
 @_query("""WITH late AS (SELECT oai_identifier, min(r.source_datestamp) AS since FROM raw_record r JOIN oai_page p USING (page_id) WHERE r.source_datestamp < p.source_date GROUP BY 1)
@@ -326,16 +339,33 @@ def q30_control_repairs(spark, folder):
     return _t(spark, folder, "documents").select("doc_id", F.explode(canon.control_repairs(F.col("text"))).alias("r")).select("doc_id", "r.code_point", F.col("r.count").cast("int").alias("n"))
 
 
-@_query("SELECT raw_id, oai_identifier, source_datestamp, deleted, CASE WHEN NOT deleted AND regexp_matches(metadata.title, '\\S') THEN metadata.title END AS title FROM raw_record WHERE oai_identifier IS NOT NULL AND source_datestamp IS NOT NULL")
+# a parser reads line ends of XML as line feeds
+_ITEM = lambda c: f"CASE WHEN NOT deleted AND regexp_matches({c}, '\\S') THEN replace(replace({c}, chr(13) || chr(10), chr(10)), chr(13), chr(10)) END"
+_PAGE_TEXTS = {"title": "title", "authors_raw": "authors", "comment": "comments", "journal_ref": "journal-ref", "doi": "doi", "license": "license", "abstract": "abstract"}
+
+
+@_query(f"""SELECT page_id, oai_identifier, source_datestamp, deleted, {", ".join(f"{_ITEM('metadata.' + n)} AS {n}" for n in _PAGE_TEXTS)},
+CASE WHEN NOT deleted THEN array_to_string(list_sort(list_distinct(metadata.categories)), ' ') END AS categories, coalesce(array_to_string(list_sort(list_distinct(list_transform(source_sets, lambda x: {_single_sql("x")}))), '|'), '') AS sets,
+CASE WHEN NOT deleted THEN array_to_string(list_transform(version_history, lambda v: 'v' || v.version || '=2026-01-' || printf('%02d', v.version) || 'T10:00:00Z'), ' ') END AS versions, NOT deleted AND current_version > 1 AS revised, 't&' || page_id AS token
+FROM raw_record WHERE oai_identifier IS NOT NULL AND source_datestamp IS NOT NULL AND len(version_history) IS DISTINCT FROM 0""")
 def q31_xml_parse(spark, folder):
-    """Harvested records written as XML pages and parsed again."""
+    """Harvested records written as XML pages, many to a page, and parsed again with all of their fields and the page's token."""
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    raw = _t(spark, folder, "raw_record").filter("oai_identifier is not null and source_datestamp is not null")
-    body = F.when(F.col("deleted"), F.lit("")).otherwise(F.concat(F.lit("<metadata><arXivRaw><id>x</id>"), F.coalesce(F.concat(F.lit("<title>"), esc(F.col("metadata.title")), F.lit("</title>")), F.lit("")), F.lit("</arXivRaw></metadata>")))
-    head = F.concat(F.when(F.col("deleted"), F.lit('<header status="deleted">')).otherwise("<header>"), F.lit("<identifier>"), F.col("oai_identifier"), F.lit("</identifier><datestamp>"), F.col("source_datestamp"), F.lit("</datestamp></header>"))
-    page = F.concat(F.lit('<OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/"><responseDate>2026-01-01T00:00:00Z</responseDate><ListRecords><record>'), head, body, F.lit("</record></ListRecords></OAI-PMH>"))
-    got = records_of(parse_pages(raw.select("raw_id", page.alias("payload"))))
-    return got.select("raw_id", "oai_identifier", "source_datestamp", "deleted", F.col("metadata.title").alias("title"))
+    tag = lambda name, c: F.coalesce(F.concat(F.lit(f"<{name}>"), esc(c), F.lit(f"</{name}>")), F.lit(""))
+    raw = _t(spark, folder, "raw_record").filter("oai_identifier is not null and source_datestamp is not null and not coalesce(size(version_history) = 0, false)")
+    versions = F.array_join(F.transform("version_history", lambda v: F.concat(F.lit('<version version="v'), v["version"].cast("string"), F.lit('"><date>'), v["version"].cast("string"), F.lit(" Jan 2026 10:00:00 GMT</date></version>"))), "")
+    inner = F.concat(F.lit("<id>x</id>"), F.coalesce(versions, F.lit("")), *[tag(x, F.col(f"metadata.{n}")) for n, x in _PAGE_TEXTS.items()], tag("categories", F.array_join("metadata.categories", " ")))
+    body = F.when(F.col("deleted"), F.lit("")).otherwise(F.concat(F.lit("<metadata><arXivRaw>"), inner, F.lit("</arXivRaw></metadata>")))
+    sets = F.coalesce(F.array_join(F.transform("source_sets", lambda x: tag("setSpec", x)), ""), F.lit(""))
+    head = F.concat(F.when(F.col("deleted"), F.lit('<header status="deleted">')).otherwise("<header>"), tag("identifier", F.col("oai_identifier")), tag("datestamp", F.col("source_datestamp")), sets, F.lit("</header>"))
+    records = raw.groupBy("page_id").agg(F.array_join(F.collect_list(F.concat(F.lit("<record>"), head, body, F.lit("</record>"))), "").alias("records"))
+    token = tag("resumptionToken", F.concat(F.lit(" t&"), F.col("page_id").cast("string"), F.lit(" ")))
+    page = F.concat(F.lit('<OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/"><responseDate>2026-01-01T00:00:00Z</responseDate><ListRecords>'), "records", token, F.lit("</ListRecords></OAI-PMH>"))
+    got = records_of(page_tokens(parse_pages(records.select("page_id", page.alias("payload")))))
+    return got.select(
+        "page_id", "oai_identifier", "source_datestamp", "deleted", *[F.col(f"metadata.{n}").alias(n) for n in _PAGE_TEXTS], F.array_join("metadata.categories", " ").alias("categories"), F.array_join("source_sets", "|").alias("sets"),
+        F.array_join(F.transform("version_history", lambda v: F.concat(F.lit("v"), v["version"].cast("string"), F.lit("="), v["submitted_at"])), " ").alias("versions"), F.coalesce(F.col("current_version") > 1, F.lit(False)).alias("revised"), F.col("resumption_token").alias("token"),
+    )
 
 
 @_query("SELECT doc_id, sha256(text) AS digest FROM (SELECT doc_id, replace(replace(text, chr(13), ' '), chr(10), ' ') AS text FROM documents WHERE text IS NOT NULL)")
@@ -350,7 +380,7 @@ def q32_parts_roundtrip(spark, folder):
     return back.select(F.from_json("line", "doc_id bigint, text string").alias("d")).select("d.doc_id", F.sha2("d.text", 256).alias("digest"))
 
 
-@_query(f"""WITH {_OBS}, src AS (SELECT * FROM o WHERE operation <> 'producer_retract'), r AS (SELECT logical_record_key AS k, retract.target_observation_id AS t, retract.replacement_observation_id AS p FROM o WHERE operation = 'producer_retract'),
+@_query(f"""WITH {_OBS.replace(" QUALIFY row_number() OVER (PARTITION BY observation_id ORDER BY feed_seq) = 1", "")}, src AS (SELECT * FROM o WHERE operation <> 'producer_retract'), r AS (SELECT logical_record_key AS k, retract.target_observation_id AS t, retract.replacement_observation_id AS p FROM o WHERE operation = 'producer_retract'),
 lk AS (SELECT c.*, u.observation_id AS u_id, u.logical_record_key AS u_key, u.operation AS u_op FROM live c LEFT JOIN live u ON c.sup = u.observation_id WHERE c.sup IS NOT NULL)
 SELECT rule, count(*) AS n FROM (
 SELECT 'retract_target_absent' AS rule FROM r WHERE t NOT IN (SELECT observation_id FROM src)
@@ -361,10 +391,12 @@ UNION ALL SELECT 'second_root' FROM live GROUP BY logical_record_key HAVING coun
 UNION ALL SELECT 'orphan' FROM lk WHERE u_id IS NULL
 UNION ALL SELECT 'key_changed' FROM lk WHERE u_key <> logical_record_key
 UNION ALL SELECT 'after_delete' FROM lk WHERE u_op = 'source_delete'
-UNION ALL SELECT 'fork' FROM live WHERE sup IS NOT NULL GROUP BY sup HAVING count(*) > 1) GROUP BY 1""")
+UNION ALL SELECT 'fork' FROM live WHERE sup IS NOT NULL GROUP BY sup HAVING count(*) > 1
+UNION ALL SELECT 'duplicate_id' FROM o GROUP BY observation_id HAVING count(*) > 1) GROUP BY 1""")
 def q33_log_violations(spark, folder):
-    """Breaches of the rules of a log, by rule."""
-    return log_violations(_observations(spark, folder)).groupBy("rule").agg(F.count("*").alias("n"))
+    """Breaches of the rules of a log, by rule; repeated deliveries count as rows of it."""
+    o = _t(spark, folder, "observation").select("observation_id", "operation", "logical_record_key", F.col("source_datestamp").alias("partition_date"), F.nullif("supersedes_observation_id", F.lit("")).alias("supersedes_observation_id"), "record_content_sha256", "retract")
+    return log_violations(o).groupBy("rule").agg(F.count("*").alias("n"))
 
 
 _MEMBER = """WITH e AS (SELECT user_id AS key, event_id AS seq, event_type IN ('signup', 'view', 'click', 'purchase') AS in_scope, event_type = 'error' AND json_extract(props, '$.k')::INT >= 95 AS deleted FROM events WHERE user_id IS NOT NULL),
@@ -396,16 +428,50 @@ def q34_stream_state(spark, folder):
     return last.filter("ever_in_scope")
 
 
-@_query(f"""WITH {_CLASSIFIED.replace("FROM raw_record, feed_scope f)", "FROM (SELECT * FROM raw_record WHERE oai_identifier IS NOT NULL QUALIFY row_number() OVER (PARTITION BY oai_identifier, source_datestamp ORDER BY raw_id DESC) = 1), feed_scope f)")},
-k AS (SELECT * FROM c WHERE operation NOT IN ('ignored', 'after_delete')),
-m AS (SELECT oai_identifier, bool_or(operation = 'upsert') AS ever, arg_max(operation, source_datestamp) AS op FROM k GROUP BY 1)
-SELECT 'sha256:' || sha256(to_json(['arxiv-logical-record-v1', oai_identifier])::VARCHAR) AS logical_record_key, ever AS ever_in_scope, op = 'upsert' AS active_in_scope, op = 'source_delete' AS source_deleted FROM m""")
-def q35_project_fold(spark, folder):
-    """The whole stream projected to chained observations and folded to state."""
+_DAILY = _CLASSIFIED.replace("SELECT raw_id, oai_identifier, source_datestamp, deleted,", "SELECT *,", 1).replace("FROM raw_record, feed_scope f)", "FROM (SELECT * FROM raw_record WHERE oai_identifier IS NOT NULL QUALIFY row_number() OVER (PARTITION BY oai_identifier, source_datestamp ORDER BY raw_id DESC) = 1), (SELECT scope_id, categories, category_aliases FROM feed_scope) f)")
+
+
+def _clean_sql(c: str, lines: bool) -> str:
+    bare = f"regexp_replace({c}, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F-\\x{{9F}}]', ' ', 'g')"
+    return f"nullif({(_multi_sql if lines else _single_sql)(bare)}, '')"
+
+
+_META = ", ".join(f"'{n}': " + (_clean_sql(f"metadata.{n}", dict(TEXT_FIELDS)[n]) if n in dict(TEXT_FIELDS) else f"metadata.{n}") for n in ("abstract", "authors", "authors_raw", "categories", "comment", "doi", "journal_ref", "license", "primary_category", "title"))
+_PROJECTED = f"""{_DAILY},
+k AS (SELECT *, operation = 'source_delete' AS del, 'sha256:' || sha256(to_json(['arxiv-logical-record-v1', oai_identifier])::VARCHAR) AS key FROM c WHERE operation NOT IN ('ignored', 'after_delete')),
+h AS (SELECT key, oai_identifier, source_datestamp, operation, scope_id, 'sha256:' || sha256(to_json({{'base_arxiv_id': base_arxiv_id, 'current_version': CASE WHEN NOT del THEN current_version END, 'field_provenance': CASE WHEN NOT del THEN field_provenance END, 'logical_record_key': key,
+  'metadata': CASE WHEN NOT del AND metadata IS NOT NULL THEN {{{_META}}} END, 'oai_identifier': oai_identifier, 'operation': operation, 'source_datestamp': source_datestamp, 'source_sets': source_sets,
+  'version_history': CASE WHEN operation = 'scope_exit' THEN [] WHEN NOT del THEN version_history END, 'versioned_arxiv_id': CASE WHEN NOT del THEN versioned_arxiv_id END}})::VARCHAR) AS content FROM k),
+g2 AS (SELECT *, lag(content) OVER (PARTITION BY key ORDER BY source_datestamp) IS DISTINCT FROM content AS fresh FROM h),
+n AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY source_datestamp) AS i FROM g2 WHERE fresh),
+w AS (SELECT key, i, source_datestamp, operation, content, 'sha256:' || sha256(to_json(['arxiv-oai-observation-v1', scope_id, oai_identifier, source_datestamp, operation, content, NULL])::VARCHAR) AS id, NULL::VARCHAR AS sup FROM n WHERE i = 1
+  UNION ALL SELECT n.key, n.i, n.source_datestamp, n.operation, n.content, 'sha256:' || sha256(to_json(['arxiv-oai-observation-v1', n.scope_id, n.oai_identifier, n.source_datestamp, n.operation, n.content, w.id])::VARCHAR), w.id FROM w JOIN n ON n.key = w.key AND n.i = w.i + 1)"""
+
+
+def _projected(spark, folder):
     raw = _t(spark, folder, "raw_record").filter("oai_identifier is not null")
     cols = ("base_arxiv_id", "current_version", "deleted", "field_provenance", "metadata", "source_sets", "version_history", "versioned_arxiv_id")
     daily = raw.groupBy("oai_identifier", "source_datestamp").agg(F.max_by(F.struct(*cols), "raw_id").alias("x")).select("oai_identifier", "source_datestamp", "x.*")
-    return fold(project(daily, _scope(spark, folder))).select("logical_record_key", "ever_in_scope", "active_in_scope", "source_deleted")
+    return project(daily, _scope(spark, folder), breaches="skip")
+
+
+@_query(f"WITH RECURSIVE {_PROJECTED} SELECT key AS logical_record_key, source_datestamp AS partition_date, operation, content AS record_content_sha256, id AS observation_id, sup AS supersedes_observation_id FROM w")
+def q06_project(spark, folder):
+    """The stream projected to chained observations: changed content only, with hashes of records and ids."""
+    return _projected(spark, folder).select("logical_record_key", "partition_date", "operation", "record_content_sha256", "observation_id", "supersedes_observation_id")
+
+
+@_query(f"""WITH RECURSIVE {_PROJECTED}, l AS (SELECT key, bool_or(operation = 'upsert') AS ever, max_by(id, i) AS head, max_by(operation, i) AS op, max_by(content, i) AS content FROM w GROUP BY 1)
+SELECT key AS logical_record_key, ever AS ever_in_scope, op = 'upsert' AS active_in_scope, op = 'source_delete' AS source_deleted, head AS observation_id, content AS record_content_sha256 FROM l""")
+def q35_project_fold(spark, folder):
+    """The whole stream projected to chained observations and folded to state, with the head of every key."""
+    return fold(_projected(spark, folder)).drop("operation")
+
+
+@_query(f"WITH {_CLASSIFIED.replace('FROM raw_record, feed_scope f', 'FROM (SELECT * REPLACE (deleted OR raw_id % 7 = 0 AS deleted) FROM raw_record) r, feed_scope f')} SELECT 'after_delete' AS rule, 'sha256:' || sha256(to_json(['arxiv-logical-record-v1', oai_identifier])::VARCHAR) AS key, source_datestamp FROM c WHERE operation = 'after_delete'")
+def q39_projection_violations(spark, folder):
+    """Records that come after the delete of their key; every seventh record is taken as a delete, as the tables hold no breach."""
+    return projection_violations(_t(spark, folder, "raw_record").withColumn("deleted", F.col("deleted") | (F.col("raw_id") % 7 == 0)), _scope(spark, folder), tie=("raw_id",))
 
 
 @_query("SELECT logical_record_key, sha256(to_json({'base_arxiv_id': record.base_arxiv_id, 'current_version': record.current_version})::VARCHAR) AS digest, source_datestamp FROM observation WHERE record IS NOT NULL AND operation = 'upsert' QUALIFY row_number() OVER (PARTITION BY logical_record_key ORDER BY source_datestamp DESC, feed_seq DESC) = 1")
@@ -423,11 +489,13 @@ def q37_new_observations(spark, folder):
     return new_observations(o.filter("operation <> 'producer_retract'"), o.filter("partition_date <= '2025-12-31'")).select("partition_date", "observation_id")
 
 
-@_query("""SELECT raw_id, field, code_point, n FROM (SELECT raw_id, field, printf('U+%04X', unicode(x)) AS code_point, count(*)::INT AS n FROM (
-SELECT raw_id, 'title' AS field, unnest(regexp_extract_all(metadata.title, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F-\\x{9F}]')) AS x FROM raw_record WHERE NOT deleted
-UNION ALL SELECT raw_id, 'abstract', unnest(regexp_extract_all(metadata.abstract, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F-\\x{9F}]')) FROM raw_record WHERE NOT deleted
-UNION ALL SELECT raw_id, 'authors_raw', unnest(regexp_extract_all(metadata.authors_raw, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F-\\x{9F}]')) FROM raw_record WHERE NOT deleted) GROUP BY 1, 2, 3)""")
+_REPAIRED = {"title": "text", "abstract": "text", "authors_raw": "source", "comment": "text", "journal_ref": "lang", "doi": "text", "license": "lang"}
+_REPAIRED_SQL = " UNION ALL ".join(f"SELECT doc_id, '{f}' AS field, {c} AS t FROM documents" for f, c in _REPAIRED.items())
+
+
+@_query(f"""SELECT doc_id, field, printf('U+%04X', unicode(x)) AS code_point, count(*)::INT AS n FROM (SELECT doc_id, field, unnest(regexp_extract_all(t, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F-\\x{{9F}}]')) AS x FROM ({_REPAIRED_SQL})) GROUP BY 1, 2, 3""")
 def q38_text_repairs(spark, folder):
-    """Repairs of the text fields of harvested records."""
-    raw = _t(spark, folder, "raw_record").withColumn("oai_identifier", F.col("raw_id").cast("string"))
-    return text_repairs(raw).filter(F.col("field").isin("title", "abstract", "authors_raw")).select(F.col("oai_identifier").cast("bigint").alias("raw_id"), "field", "code_point", F.col("count").cast("int").alias("n"))
+    """Repairs of all text fields of records; here the fields hold the texts of documents, which need some."""
+    meta = F.struct(*[F.col(_REPAIRED[n]).alias(n) for n, _ in TEXT_FIELDS])
+    records = _t(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("oai_identifier"), F.lit("2026-01-01").alias("source_datestamp"), F.lit(False).alias("deleted"), meta.alias("metadata"))
+    return text_repairs(records).select(F.col("oai_identifier").cast("bigint").alias("doc_id"), "field", "code_point", F.col("count").cast("int").alias("n"))

@@ -34,13 +34,13 @@ def refuse(df: DataFrame, what: str) -> None:
         raise Rejected(f"{what}: {'; '.join(bad)}")
 
 
-def harvest(spark: SparkSession, days: list[str], pages: str | None, endpoint: str | None) -> tuple[DataFrame, dict[str, dict]]:
+def harvest(spark: SparkSession, days: list[str], pages: str | None, endpoint: str | None, agent: str = "") -> tuple[DataFrame, dict[str, dict]]:
     """Records and the query summary of every day that was answered completely."""
     if pages:
         got = read_saved_pages(spark, pages).filter(F.col("source_date").isin(days))
     else:
         spark.dataSource.register(ChangeStream)
-        got = spark.read.format("ledgerfold_pages").option("endpoint", endpoint).option("dates", ",".join(days)).load()
+        got = spark.read.format("ledgerfold_pages").option("endpoint", endpoint).option("dates", ",".join(days)).option("userAgent", agent).load()
     got, _ = write_table(got, "pages")
     refuse(page_violations(got), "page")
     parsed = parse_pages(got)
@@ -78,7 +78,7 @@ def collect(spark: SparkSession, a: argparse.Namespace) -> dict:
         refuse(correction_violations(existing, specs), "correction")
         corrections, _ = write_table(build_retractions(existing, specs, scope["scope_id"]), "corrections")
     plan = plan_collection(today, config, start, closed)
-    raw, answered = harvest(spark, plan.source_dates, a.pages, a.endpoint)
+    raw, answered = harvest(spark, plan.source_dates, a.pages, a.endpoint, a.user_agent)
     queries = {d: query_block(d, s, now, a.schema_url, a.schema_sha256, config.metadata_prefix) for d, s in answered.items()}
     outcomes = None
     if a.enrich and (a.search_pages or a.search_endpoint) and tasks is not None:
@@ -86,7 +86,7 @@ def collect(spark: SparkSession, a: argparse.Namespace) -> dict:
         if a.search_pages:
             answers = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(a.search_pages).select(F.col("content").alias("payload"))
         else:  # at most max_per_run ids
-            got = fetch_search(Transport(attempts=3), a.search_endpoint, [r["base_arxiv_id"] for r in asked.collect()], config.batch_size)
+            got = fetch_search(Transport(attempts=3, agent=a.user_agent), a.search_endpoint, [r["base_arxiv_id"] for r in asked.collect()], config.batch_size)
             answers = spark.createDataFrame([(bytearray(body),) for _, body in got if body is not None], "payload binary")
         outcomes = enrich.search_outcomes(asked, parse_search(answers))
     producer = Producer(a.code_sha, canon.bytes_hash(canon.file_bytes(json.loads(open(a.config, encoding="utf-8").read()) if a.config else {})), a.schema_sha256, a.run_id)
@@ -121,6 +121,7 @@ def parser() -> argparse.ArgumentParser:
         "base-commit": {}, "result": {}, "schema-url": {"default": ""}, "schema-sha256": {"default": "sha256:" + "0" * 64}, "base-bytes": {"type": int, "default": 0},
     }.items():
         c.add_argument(f"--{name}", **more)
+    c.add_argument("--user-agent", default="", help="with a contact; needed for requests over the network")
     c.add_argument("--enrich", action="store_true")
     c.add_argument("--full-correction", action="store_true")
     v = sub.add_parser("validate", help="check a published tree against itself")

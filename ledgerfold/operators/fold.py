@@ -91,6 +91,31 @@ def log_violations(observations: DataFrame) -> DataFrame:
     return out
 
 
+#: Text fields of a record, and whether they keep lines.
+TEXT_FIELDS = (("title", False), ("abstract", True), ("authors_raw", False), ("comment", True), ("journal_ref", False), ("doi", False), ("license", False))
+
+
+def _is_normal(c: Column, lines: bool = False) -> Column:
+    """Whether text is null, or not empty and in canonical form."""
+    form = canon.normalize_multiline(c) if lines else canon.normalize_single_line(c)
+    return c.isNull() | ((c != "") & form.eqNullSafe(c) & ~canon.has_control(c))
+
+
+def _names_are_normal(authors: Column) -> Column:
+    """The same for the names of an array, which must not be null; NFC is checked on all names at once, as nothing composes over a line feed."""
+    plain = lambda n: canon.strip(canon.collapse_blanks(F.translate(canon.line_endings(n), "\n", " ")))
+    joined = F.array_join(F.transform(authors, lambda a: a["name"]), "\n")
+    odd = F.exists(authors, lambda a: a["name"].isNull() | (a["name"] == "") | (plain(a["name"]) != a["name"]) | canon.has_control(a["name"]))
+    return authors.isNull() | (~odd & canon.nfc(joined).eqNullSafe(joined))
+
+
+def state_violations(state: DataFrame) -> DataFrame:
+    """``rule, key`` of memberships that contradict themselves: active but never in scope, or active and deleted."""
+    rules = {"active_never_in_scope": ~F.col("active_in_scope") | F.col("ever_in_scope"), "active_and_deleted": ~F.col("active_in_scope") | ~F.col("source_deleted"), "key_malformed": canon.is_hash(F.col("logical_record_key"))}
+    broken = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(n)) for n, ok in rules.items()]))
+    return state.select(F.explode(broken).alias("rule"), F.col("logical_record_key").alias("key"))
+
+
 def envelope_violations(observations: DataFrame, scope_id: str) -> DataFrame:
     """``rule, key``: rows whose hashes, ids or records do not follow from their content."""
     r, t = F.col("record"), F.col("retract")
@@ -118,8 +143,9 @@ def envelope_violations(observations: DataFrame, scope_id: str) -> DataFrame:
         "history_not_increasing": ~upsert | ((F.size(versions) > 0) & sorted_set(numbers) & (F.try_element_at(numbers, F.lit(-1)) == r["current_version"])),
         "history_of_terminal": upsert | is_retract | versions.isNull() | (F.size(versions) == 0),
         "categories_not_sorted": ~upsert | ((F.size(cats) > 0) & sorted_set(cats)),
-        "title_not_normalized": is_retract | r["metadata"]["title"].isNull() | ((r["metadata"]["title"] != "") & canon.normalize_single_line(r["metadata"]["title"]).eqNullSafe(r["metadata"]["title"]) & ~canon.has_control(r["metadata"]["title"])),
-        "abstract_not_normalized": is_retract | r["metadata"]["abstract"].isNull() | ((r["metadata"]["abstract"] != "") & canon.normalize_multiline(r["metadata"]["abstract"]).eqNullSafe(r["metadata"]["abstract"]) & ~canon.has_control(r["metadata"]["abstract"])),
+        **{f"{name}_not_normalized": is_retract | _is_normal(r["metadata"][name], lines) for name, lines in TEXT_FIELDS},
+        "primary_category_not_normalized": is_retract | _is_normal(r["metadata"]["primary_category"]),
+        "author_not_normalized": is_retract | _names_are_normal(r["metadata"]["authors"]),
         "provenance_unknown": ~upsert | (
             (r["field_provenance"]["version_history"] == "oai_arxiv_raw") & (r["field_provenance"]["authors_raw"] == "oai_arxiv_raw")
             & r["field_provenance"]["authors"].isin("oai_arxiv_raw", "search_api_optional") & r["field_provenance"]["primary_category"].isin("oai_arxiv_raw", "search_api_optional")

@@ -12,12 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerfold.functions import canon, ident
+from ledgerfold.operators.fold import TEXT_FIELDS
 from ledgerfold.schemas import SOURCE_RECORD, SOURCE_RECORD_FIELDS
 
-#: Text fields in the order of their repairs, and whether they keep lines.
-TEXT_FIELDS = (("title", False), ("abstract", True), ("authors_raw", False), ("comment", True), ("journal_ref", False), ("doi", False), ("license", False))
-
-
 @dataclass(frozen=True)
 class Scope:
     scope_id: str
@@ -127,16 +124,30 @@ def classify_stream(raw: DataFrame, scope: Scope, state: DataFrame | None = None
     return marked.withColumn("gone", gone).withColumn("operation", classify(F.col("deleted"), F.col("in_scope"), F.col("ever"), F.col("gone")))
 
 
-def project(raw: DataFrame, scope: Scope, state: DataFrame | None = None) -> DataFrame:
+def projection_violations(raw: DataFrame, scope: Scope, state: DataFrame | None = None, tie: tuple[str, ...] = ()) -> DataFrame:
+    """``rule, key, source_datestamp``: records that come after the delete of their key, which ends it."""
+    late = classify_stream(raw, scope, state, tie).filter("operation = 'after_delete'")
+    return late.select(F.col("operation").alias("rule"), F.col("logical_record_key").alias("key"), "source_datestamp")
+
+
+def project(raw: DataFrame, scope: Scope, state: DataFrame | None = None, breaches: str = "raise") -> DataFrame:
     """Observations of a stream that are new: changed content only, chained per key.
 
     The scope is applied before any text is touched, so text out of scope cannot fail a job.  An
     observation's id holds its predecessor's, so ids of a key are folded in order; keys are
-    independent.
+    independent.  A record after the delete of its key fails the job; with ``breaches="skip"`` it is
+    left out, and :func:`projection_violations` names it.
     """
+    if breaches not in ("raise", "skip"):
+        raise ValueError("breaches are raised or skipped")
     from ledgerfold.operators.chain import as_observations, chain_ids
 
-    ops = classify_stream(raw, scope, state).filter(~F.col("operation").isin("ignored", "after_delete"))
+    ops = classify_stream(raw, scope, state).filter("operation <> 'ignored'")
+    if breaches == "skip":
+        ops = ops.filter("operation <> 'after_delete'")
+    else:
+        stop = F.raise_error(F.concat(F.lit("source_delete is terminal: "), F.col("oai_identifier"))).cast("string")
+        ops = ops.withColumn("operation", F.when(F.col("operation") == "after_delete", stop).otherwise(F.col("operation")))
     ready = normalize_records(ops).withColumn("record", record_for(F.col("operation"))).withColumn("record_content_sha256", canon.content_hash(F.col("record")))
     order = Window.partitionBy("logical_record_key").orderBy("source_datestamp")
     last = F.coalesce(F.lag("record_content_sha256").over(order), F.col("base_hash"))

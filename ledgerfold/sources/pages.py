@@ -6,6 +6,8 @@ that breaks a rule is reported by :func:`page_violations` and never dropped in s
 
 from __future__ import annotations
 
+import html
+import random
 import time
 import urllib.error
 import urllib.parse
@@ -157,10 +159,15 @@ def parse_search(pages: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 class Transport:
-    """Requests in series: an interval between them, tries after failures, the server's wait if it names one."""
+    """Requests in series: an interval between them, tries after failures with jitter, the server's wait if it names one.
 
-    def __init__(self, opener: Callable[[str, float], tuple[int, dict, bytes]] | None = None, attempts: int = ATTEMPTS, interval: float = MIN_INTERVAL, timeout: float = TIMEOUT, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic):
-        self.opener, self.attempts, self.interval, self.timeout, self.sleep, self.clock = opener or _open, attempts, interval, timeout, sleep, clock
+    Requests over the network carry ``agent``, which must name a contact: a mail address or a URL as ``+http...``.
+    """
+
+    def __init__(self, opener: Callable[[str, float], tuple[int, dict, bytes]] | None = None, attempts: int = ATTEMPTS, interval: float = MIN_INTERVAL, timeout: float = TIMEOUT, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic, agent: str = "", jitter: Callable[[], float] = random.random):
+        if opener is None and not has_contact(agent):
+            raise ValueError("the user agent must name a contact")
+        self.opener, self.attempts, self.interval, self.timeout, self.sleep, self.clock, self.jitter = opener or opener_as(agent), attempts, interval, timeout, sleep, clock, jitter
         self.last: float | None = None
 
     def get(self, url: str) -> bytes:
@@ -178,16 +185,26 @@ class Transport:
                 return body
             if status not in RETRY_STATUS or attempt == self.attempts:
                 raise OSError(f"request failed with {status}")
-            self.sleep(retry_delay(attempt, headers.get("Retry-After")))
+            self.sleep(retry_delay(attempt, headers.get("Retry-After"), self.jitter()))
         raise AssertionError
 
 
-def _open(url: str, timeout: float) -> tuple[int, dict, bytes]:
-    try:
-        with urllib.request.urlopen(url, timeout=timeout) as r:
-            return r.status, dict(r.headers), r.read(MAX_PAGE + 1)
-    except urllib.error.HTTPError as e:
-        return e.code, dict(e.headers), b""
+def has_contact(agent: str) -> bool:
+    return "@" in agent or "+http" in agent
+
+
+def opener_as(agent: str) -> Callable[[str, float], tuple[int, dict, bytes]]:
+    """Requests under a user agent."""
+
+    def run(url: str, timeout: float) -> tuple[int, dict, bytes]:
+        request = urllib.request.Request(url, headers={"User-Agent": agent, "Accept": "application/xml, application/atom+xml"})
+        try:
+            with urllib.request.urlopen(request, timeout=timeout) as r:
+                return r.status, dict(r.headers), r.read(MAX_PAGE + 1)
+        except urllib.error.HTTPError as e:
+            return e.code, dict(e.headers), b""
+
+    return run
 
 
 def harvest_day(transport: Transport, endpoint: str, day: str, prefix: str = "arXivRaw") -> Iterator[bytes]:
@@ -200,7 +217,7 @@ def harvest_day(transport: Transport, endpoint: str, day: str, prefix: str = "ar
         body = transport.get(f"{endpoint}?{urllib.parse.urlencode(query)}")
         yield body
         found = re.search(rb"<(?:\w+:)?resumptionToken[^>]*>([^<]*)<", body)
-        token = found[1].decode().strip() if found else ""
+        token = html.unescape(found[1].decode()).strip() if found else ""
         if not token:
             return
         if token in seen:
@@ -233,6 +250,7 @@ class ChangeStreamReader(DataSourceReader):
     def __init__(self, options: dict):
         self.endpoint, self.days = options["endpoint"], [d for d in options.get("dates", "").split(",") if d]
         self.interval, self.attempts, self.prefix = float(options.get("interval", MIN_INTERVAL)), int(options.get("attempts", ATTEMPTS)), options.get("metadataPrefix", "arXivRaw")
+        self.agent = options.get("useragent", options.get("userAgent", ""))
 
     def pushFilters(self, filters: list[Filter]):
         for f in filters:
@@ -245,14 +263,14 @@ class ChangeStreamReader(DataSourceReader):
         return [_Day(self.days)]
 
     def read(self, partition: _Day) -> Iterator[tuple]:
-        transport = Transport(attempts=self.attempts, interval=self.interval)
+        transport = Transport(attempts=self.attempts, interval=self.interval, agent=self.agent)
         for day in partition.days:
             for n, body in enumerate(harvest_day(transport, self.endpoint, day, self.prefix), 1):
                 yield day, n, body
 
 
 class ChangeStream(DataSource):
-    """``spark.read.format("ledgerfold_pages").option("endpoint", ...).option("dates", "2026-01-01,...")``."""
+    """``spark.read.format("ledgerfold_pages").option("endpoint", ...).option("dates", "2026-01-01,...").option("userAgent", "name (+https://...)")``."""
 
     @classmethod
     def name(cls) -> str:

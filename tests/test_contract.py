@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerfold.functions import canon, ident
 from ledgerfold.operators import enrich
-from ledgerfold.operators.fold import fold, log_violations, union_checked
-from ledgerfold.operators.project import Scope, project, scope_errors, text_repairs
+from ledgerfold.operators.fold import fold, log_violations, state_violations, union_checked
+from ledgerfold.operators.project import Scope, project, projection_violations, scope_errors, text_repairs
 from ledgerfold.plans.planner import ProducerConfig, calendar, capacity_status, chain_breaks, check_changed, frontier, pending_gaps, plan_collection, retry_delay
 from ledgerfold.schemas import OBSERVATION, RAW_RECORD, RETRACT_RECORD, SOURCE_RECORD, TASK
 from ledgerfold.sources.objects import ObjectWriter, greedy_parts, read_objects, shard_violations, write_parts
@@ -230,7 +230,7 @@ def test_transport():
         return answers.pop(0)
 
     now = [0.0]
-    t = Transport(opener, sleep=lambda s: (slept.append(s), now.__setitem__(0, now[0] + s)), clock=lambda: now[0])
+    t = Transport(opener, sleep=lambda s: (slept.append(s), now.__setitem__(0, now[0] + s)), clock=lambda: now[0], jitter=lambda: 0.0)
     assert len(list(harvest_day(t, "http://x.example/oai", "2026-07-14"))) == 2
     assert "from=2026-07-14&until=2026-07-14" in asked[0] and asked[-1].endswith("verb=ListRecords&resumptionToken=t1") and 5.0 in slept
     with pytest.raises(OSError, match="404"):
@@ -278,3 +278,36 @@ def test_parts(spark, tmp_path):
 def test_raw_schema_order():
     names = [f.strip().split(" ")[0] for f in RAW_RECORD.split(", ")]
     assert names == sorted(names)
+
+
+def test_requests_name_a_contact_and_wait_with_jitter():
+    with pytest.raises(ValueError, match="contact"):
+        Transport(agent="somebody")
+    assert Transport(agent="ledgerfold (+https://x.example)").attempts == 4
+    slept, answers = [], [(503, {}, b""), (200, {}, b"<x/>")]
+    t = Transport(lambda u, s: answers.pop(0), interval=0.0, sleep=slept.append, jitter=lambda: 0.2)
+    assert t.get("u") == b"<x/>" and slept == [1.2]
+
+
+def test_token_with_an_entity_is_sent_back_as_it_is():
+    asked = []
+
+    def opener(url, timeout):
+        asked.append(url)
+        return 200, {}, b"<OAI-PMH><ListRecords><resumptionToken>a&amp;b</resumptionToken></ListRecords></OAI-PMH>" if len(asked) == 1 else b"<OAI-PMH/>"
+
+    assert len(list(harvest_day(Transport(opener, sleep=lambda s: None), "http://x.example", "2026-01-01"))) == 2
+    assert asked[1].endswith("resumptionToken=a%26b")
+
+
+def test_state_and_projection_breaches(spark):
+    k = "sha256:" + "0" * 64
+    rows = [(k, True, True, False), (k, False, True, False), (k, True, True, True), ("x", True, False, True)]
+    df = spark.createDataFrame(rows, "logical_record_key string, ever_in_scope boolean, active_in_scope boolean, source_deleted boolean")
+    assert sorted(r["rule"] for r in state_violations(df).collect()) == ["active_and_deleted", "active_never_in_scope", "key_malformed"]
+    late = frame(spark, [raw(1, "2026-07-01"), raw(1, "2026-07-02", deleted=True), raw(1, "2026-07-03")])
+    scope = Scope.of(SCOPE)
+    with pytest.raises(Exception, match="source_delete is terminal"):
+        project(late, scope).collect()
+    assert [r["operation"] for r in project(late, scope, breaches="skip").sort("partition_date").collect()] == ["upsert", "source_delete"]
+    assert [(r["rule"], r["source_datestamp"]) for r in projection_violations(late, scope).collect()] == [("after_delete", "2026-07-03")]
