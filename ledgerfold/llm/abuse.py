@@ -27,6 +27,9 @@ from ledgerfold.llm.tokens import VOCABULARIES, vocabulary
 #: Most labelled rows that are used for fitting.
 SAMPLE_ROWS = 10_000
 
+#: Edits that a misspelt word may be away from a term, by its least length: shorter words have too many neighbours.
+EDITS = {9: 2, 5: 1}
+
 #: Terms, by how far they go alone. Longer terms are phrases; words may be misspelled.
 LEXICON = {
     # abuse whoever it is said to
@@ -65,8 +68,9 @@ _LEET = str.maketrans("013457@$!|", "oieastasii")
 _SIGNS = "@$!|"
 _TOKEN = re.compile(r"(?:[@$!|](?=[^\W\d_]))?[^\W_]+(?:[*@$!|'’-]+[^\W_]+)*[*$]*|[一-鿿]")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_]([ ._-]))(?:[^\W\d_]\1){1,}[^\W\d_](?![^\W_])")
+_GAPS = re.compile(r"[ ._-]")
 _SENTENCE = re.compile(r"(?<=[.?…。！？])[\s\"'”)]+(?=\S)|(?<=[^!]!)[\s\"'”)]+(?=\S)|\n+")
-_QUOTES = re.compile(r"[\"“”„«»](?=\S)([^\"“”„«»\n]{1,300})[\"“”„«»]")
+_QUOTES = re.compile(r"[\"“”„«»](?=\S)([^\"“”„«»\n]+)[\"“”„«»]")
 
 
 @lru_cache(200_000)
@@ -156,16 +160,29 @@ class Lexicon:
                     self.terms[words] = kind
         self.words = {w for t in self.terms for w in t}
         self.longest = max(map(len, self.terms))
+        self.first = frozenset(t[0] for t in self.terms)
         #: the longest word of each term: without one of these a text has no term
         self.anchors = frozenset(max(t, key=len) for t in self.terms)
-        self.trie = Trie({w for w in self.words if len(w) >= 4})
+        self.trie = Trie(self.words)
         #: words within d edits share a form with up to d letters left out, so only words with one go to the trie
-        self.forms = [set().union(*(_shortened(w, d) for w in self.words if len(w) >= 5)) for d in range(3)]
+        self.forms = [set().union(*(_shortened(w, d) for w in self.words)) for d in range(max(EDITS.values()) + 1)]
         self.squeezed: dict[str, str] = {}
         for w in sorted(w for w in self.words if len(set(w)) > 1):
             self.squeezed.setdefault(_squeeze(w), w)
         self.known = known | NEIGHBOURS
         self.cache: dict[str, str] = {}
+        self.seen: set[str] = set()  # written words that were looked at for anchors, and those that stand for one
+        self.hot: set[str] = set()
+
+    def anchored(self, text: str) -> set[str]:
+        """Written words that stand for an anchor; every distinct one is looked up once."""
+        tokens = set(_TOKEN.findall(text))
+        if new := tokens - self.seen:
+            if len(self.seen) > 1_000_000:
+                self.seen, self.hot, new = set(), set(), tokens
+            self.hot.update(t for t in new if self.word(t) in self.anchors)
+            self.seen |= new
+        return self.hot & tokens if len(self.hot) < len(tokens) else tokens & self.hot
 
     def word(self, raw: str) -> str:
         """The lexicon's word that a written word stands for, or the word itself."""
@@ -200,18 +217,16 @@ class Lexicon:
             if re.search(r"(.)\1\1", undone) and _squeeze(undone) in self.squeezed:
                 return self.squeezed[_squeeze(undone)]
             if "*" in low:
-                stars = [w for d, w in self.trie.within(low, 0)] or [w for w in self.words if len(w) == len(low) and len(w) < 4 and all(a in ("*", b) for a, b in zip(low, w, strict=True))]
+                stars = [w for _, w in self.trie.within(low, 0)]
                 return stars[0] if stars else low
             plain = undone
             if plain in self.known:
                 return low
-        if len(plain) < 5:
-            return low
-        most = 2 if len(plain) >= 9 else 1
-        if self.forms[most].isdisjoint(_shortened(plain, most)):
+        most = next((d for n, d in EDITS.items() if len(plain) >= n), 0)
+        if not most or self.forms[most].isdisjoint(_shortened(plain, most)):
             return low
-        near = sorted((d, w[0] != plain[0], w) for d, w in self.trie.within(plain, most, swaps=True) if len(w) >= 5 and abs(len(w) - len(plain)) <= 1)
-        return near[0][2] if near and (near[0][0] == 1 or len(near[0][2]) >= 8) else low
+        near = sorted((d, w[0] != plain[0], w) for d, w in self.trie.within(plain, most, swaps=True) if d <= next((e for n, e in EDITS.items() if len(w) >= n - 1), 0))
+        return near[0][2] if near else low
 
 
 def known_words(folder: str = VOCABULARIES) -> frozenset[str]:
@@ -228,11 +243,13 @@ FEATURES = ("strong", "directed", "phrase", "addressed", "grouped", "report", "t
 
 def sentence_features(sentence: str, lex: Lexicon) -> np.ndarray | None:
     """Features of a sentence with a term in it; null without one."""
-    joined = _SPACED.sub(lambda m: re.sub(r"[ ._-]", "", m[0]), sentence)
+    joined = _SPACED.sub(lambda m: _GAPS.sub("", m[0]), sentence)
     spans = [(m.start(), m.end(), m[0]) for m in _TOKEN.finditer(joined)]
     words = [lex.word(t) for _, _, t in spans]
     hits: list[tuple[int, int, str]] = []
-    for i in range(len(words)):
+    for i, w in enumerate(words):
+        if w not in lex.first:
+            continue
         for n in range(min(lex.longest, len(words) - i), 0, -1):
             kind = lex.terms.get(tuple(words[i : i + n]))
             if kind:
@@ -268,13 +285,10 @@ class Scorer:
 
     def sentences(self, text: str) -> list[np.ndarray]:
         plain, lex = plain_lines(text), self.lex
-        if not _SPACED.search(plain) and not self._anchored(plain):
+        spaced, hot = _SPACED.search(plain), lex.anchored(plain)
+        if not spaced and not hot:
             return []
-        return [f for s in _SENTENCE.split(plain) if s and (self._anchored(s) or _SPACED.search(s)) and (f := sentence_features(s, lex)) is not None]
-
-    def _anchored(self, text: str) -> bool:
-        cache, anchors, word = self.lex.cache, self.lex.anchors, self.lex.word
-        return any((cache.get(t) or word(t)) in anchors for t in _TOKEN.findall(text))
+        return [f for s in _SENTENCE.split(plain) if s and (any(h in s for h in hot) or (spaced and _SPACED.search(s))) and (f := sentence_features(s, lex)) is not None]
 
     def score(self, text: str | None) -> float:
         """Chance that the text abuses: that of its worst sentence. 0 for null, empty and clean texts."""
