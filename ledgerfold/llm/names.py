@@ -1,9 +1,10 @@
 """Variant spellings of the names of people and organisations.
 
 Method: names are blocked by phonetic codes of their sorted tokens, pairs in a block are compared by
-Jaro-Winkler similarity and a table of nicknames (an edit distance confirms what it accepts), and
-the nearest accepted pair of each spelling goes to connected components, which are stars
-by construction: one registered name with its spellings.
+Jaro-Winkler similarity and a table of nicknames (an edit distance confirms what it accepts), and all
+accepted pairs, of a spelling with each registered name that it may mean, are clustered by connected
+components.  A component holds every spelling of the registered names that share one; within it each
+spelling goes to the nearest registered name, and to none where several are equally near.
 
 Only distinct spellings are blocked and compared, each against the registered names of its blocks;
 occurrences come back by one join.  Nothing is collected, and no pairs are made among occurrences.
@@ -131,13 +132,17 @@ def edits(a: str, b: str, most: int = 2) -> int:
     return min(prev[-1], most + 1)
 
 
+_letters = lru_cache(200_000)(frozenset)
+
+
 @lru_cache(500_000)
 def word_distance(typed: str, registered: str, least: float) -> int:
     """Edits between a typed word and the nearest fold of a registered one; 9 if Jaro-Winkler rejects it."""
     best = 9
     for t in folds(typed):
         for r in folds(registered):
-            if abs(len(t) - len(r)) <= 2 and jaro_winkler(t, r) >= least:
+            # two edits change at most two letters on either side
+            if abs(len(t) - len(r)) <= 2 and len(_letters(t) ^ _letters(r)) <= 4 and jaro_winkler(t, r) >= least:
                 best = min(best, edits(t, r))
     return best
 
@@ -322,12 +327,12 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b["sid"].filter(kept), b["person_id"].filter(kept), distance.filter(kept)], ["sid", "person_id", "distance"])
 
 
-def link_spellings(names: DataFrame, registry: DataFrame) -> DataFrame:
-    """``name, person_id`` for each distinct spelling that means a registered person or organisation.
+def cluster_spellings(names: DataFrame, registry: DataFrame) -> DataFrame:
+    """``cluster, name, person_id, distance``: the accepted pairs, each with the component it lies in.
 
     ``names`` has a column ``name``; ``registry`` has ``person_id`` (BIGINT >= 0), ``registered_name``
-    and ``entity_kind``.  Null and blank names link to nothing.  A spelling goes to the nearest
-    registered name; where several are equally near it is not settled and links to none.
+    and ``entity_kind`` (null is a person).  ``cluster`` is the greatest person of the component.  Null
+    and blank names, and registered names without id or text, are in no pair.
     """
     spelt = names.select("name").filter(F.trim("name") != "").distinct()
     spelt, _ = write_table(spelt.withColumn("sid", F.monotonically_increasing_id()), "spellings")
@@ -338,9 +343,20 @@ def link_spellings(names: DataFrame, registry: DataFrame) -> DataFrame:
     right = known.select("person_id", "registered_name", "entity_kind", F.explode(_codes(F.col("registered_name"), F.col("entity_kind"))).alias("code"))
     # pairs are compared where the join leaves them; only accepted ones move on
     pairs = left.join(right, "code").select("sid", "person_id", "name", "registered_name", "entity_kind")
-    scored = pairs.mapInArrow(_compare, "sid bigint, person_id bigint, distance int").distinct()
-    nearest = scored.groupBy("sid", "distance").agg(F.min("person_id").alias("person_id"), F.count("*").alias("n"))
-    best = nearest.groupBy("sid").agg(F.min(F.struct("distance", "n", "person_id")).alias("b")).filter("b.n = 1").select("sid", F.col("b.person_id").alias("person_id"))
-    links, _ = write_table(best.select(F.col("sid").alias("u"), (-1 - F.col("person_id")).alias("v")), "links")
-    clusters = connected_components(links)
-    return clusters.filter("node >= 0 and component < 0").join(spelt, F.col("node") == F.col("sid")).select("name", (-1 - F.col("component")).alias("person_id"))
+    accepted, _ = write_table(pairs.mapInArrow(_compare, "sid bigint, person_id bigint, distance int").distinct(), "accepted")
+    person = (-1 - F.col("person_id")).alias("v")  # below all spellings, so a registered name names its component
+    clusters = connected_components(accepted.select(F.col("sid").alias("u"), person))
+    return (
+        accepted.join(clusters.hint("merge"), F.col("sid") == F.col("node")).join(spelt.hint("merge"), "sid")
+        .select((-1 - F.col("component")).alias("cluster"), "name", "person_id", "distance")
+    )
+
+
+def link_spellings(names: DataFrame, registry: DataFrame) -> DataFrame:
+    """``name, person_id`` for each distinct spelling that means a registered person or organisation.
+
+    Input as for :func:`cluster_spellings`.  Within its cluster a spelling goes to the nearest
+    registered name; where several are equally near it is not settled and links to none.
+    """
+    nearest = cluster_spellings(names, registry).groupBy("cluster", "name", "distance").agg(F.min("person_id").alias("person_id"), F.count("*").alias("n"))
+    return nearest.groupBy("cluster", "name").agg(F.min(F.struct("distance", "n", "person_id")).alias("b")).filter("b.n = 1").select("name", F.col("b.person_id").alias("person_id"))

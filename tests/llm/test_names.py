@@ -1,7 +1,7 @@
 import pytest
 
 from ledgerfold.llm.components import connected_components
-from ledgerfold.llm.names import edits, jaro_winkler, link_spellings, name_distance
+from ledgerfold.llm.names import cluster_spellings, edits, jaro_winkler, link_spellings, name_distance
 
 REGISTRY = [
     (1, "Anastasia H. Łubibertazu", "person"), (2, "Viktor A. Zanström", "person"), (3, "Jean-Luc Peñalgekamp", "person"), (4, "Anna-Lena Quilanderzétt", "person"), (5, "Francesca Weximarzétt", "person"), (6, "Thomas Zanström", "person"),
@@ -37,3 +37,12 @@ def test_components(spark):
     assert {got[1], got[2], got[3]} == {1} and got[4] == got[5] == 4 and got[7] == 7 and {got[x] for x in (-1, 8, 9, 10)} == {-1}
     assert {got[i] for i in range(100, 140)} == {100} and {got[i] for i in range(200, 231)} == {200}
     assert connected_components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_clusters_hold_all_accepted_pairs(spark):
+    """Two registered names that share a spelling are one cluster; the tie links to none, the nearer ones to their own."""
+    registry = spark.createDataFrame([(3, "Anna Quilander", "person"), (1, "Annas Quilander", "person"), (9, "Otto Zanström", "person")], "person_id bigint, registered_name string, entity_kind string")
+    names = spark.createDataFrame([("A. Quilander",), ("Anna Quilandr",), ("Otto Zanstrom",)], "name string")
+    got = {(r["cluster"], r["name"], r["person_id"]) for r in cluster_spellings(names, registry).collect()}
+    assert {(3, "A. Quilander", 1), (3, "A. Quilander", 3), (3, "Anna Quilandr", 3), (9, "Otto Zanstrom", 9)} <= got and {c for c, _, _ in got} == {3, 9}
+    assert {tuple(r) for r in link_spellings(names, registry).collect()} == {("Anna Quilandr", 3), ("Otto Zanstrom", 9)}
