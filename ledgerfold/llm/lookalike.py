@@ -196,6 +196,28 @@ def looks(df: DataFrame, key: str, columns: dict[str, str], model: Model) -> Dat
     return fields.mapInArrow(run, f"key {kind}, field_name string, text string, look string").withColumnRenamed("key", key)
 
 
+def _seen_looks(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+    """``field_name, id, look, form`` of every field that looks like something, the last two as hashes, in a written table."""
+    from ledgerfold.storage import write_table
+
+    model = train_model(df, list(columns.values()))
+    seen = looks(df, key, columns, model).filter("look <> ''")
+    return write_table(seen.select("field_name", F.col(key).alias("id"), F.unhex(F.sha2("look", 256)).alias("look"), F.unhex(F.sha2("text", 256)).alias("form")), "looks")[0]
+
+
+def look_classes(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+    """``field_name, key, class_id, n_rows, n_forms``: a row for every field that looks like something.
+
+    ``class_id`` is the least key among those that look the same, ``n_rows`` their number and
+    ``n_forms`` the number of strings that write the look, so a hot look costs what its rows cost.
+    Null and blank fields are in no class.
+    """
+    seen = _seen_looks(df, key, columns)
+    forms = seen.groupBy("field_name", "look", "form").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+    classes = forms.groupBy("field_name", "look").agg(F.min("id").alias("class_id"), F.sum("n").alias("n_rows"), F.count("*").alias("n_forms"))
+    return seen.join(classes.hint("merge"), ["field_name", "look"]).select("field_name", F.col("id").alias(key), "class_id", "n_rows", "n_forms")
+
+
 def equal_looking(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
     """``field_name, key_a, key_b`` (a < b): rows whose field looks the same but is another string.
 
@@ -204,9 +226,7 @@ def equal_looking(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame
     """
     from ledgerfold.storage import write_table
 
-    model = train_model(df, list(columns.values()))
-    seen = looks(df, key, columns, model).filter("look <> ''")
-    seen, _ = write_table(seen.select("field_name", F.col(key).alias("id"), F.unhex(F.sha2("look", 256)).alias("look"), F.unhex(F.sha2("text", 256)).alias("form")), "looks")
+    seen = _seen_looks(df, key, columns)
     forms = seen.groupBy("field_name", "look", "form").agg(F.count("*").alias("n"))
     several = forms.groupBy("field_name", "look").agg(F.count("*").alias("forms")).filter("forms > 1").select("field_name", "look")
     forms = forms.join(several.hint("merge"), ["field_name", "look"], "left_semi").drop("n")

@@ -1,7 +1,7 @@
 """Filling containers of fixed capacity with documents.
 
 Method: vector best fit.  A container has three capacities: tokens, documents and attention cost (the
-sum of squared lengths).  Documents are taken in falling order of length; among the containers that
+sum of squared lengths; a container of one piece may exceed that cost).  Documents are taken in falling order of length; among the containers that
 can hold one under every constraint, the one is chosen whose residual vector is left shortest (norm)
 or agrees best with the document (weighted dot product); else a new one is opened.
 
@@ -30,7 +30,10 @@ WEIGHTS = (1.0, 0.05, 0.2)
 
 
 def best_fit(sizes: np.ndarray, tokens: int, documents: int, attention: int, rule: str = "norm", weights: tuple[float, float, float] = WEIGHTS) -> np.ndarray:
-    """Container number of each item; items are taken by falling size, equal sizes in their order."""
+    """Container number of each item; items are taken by falling size, equal sizes in their order.
+
+    An item whose own cost is beyond ``attention`` is alone in its container.
+    """
     n = len(sizes)
     order = np.argsort(-sizes, kind="stable")
     out = np.empty(n, np.int64)
@@ -68,15 +71,17 @@ def best_fit(sizes: np.ndarray, tokens: int, documents: int, attention: int, rul
 _PACKED = "container_kind string, container_id bigint, slot int, doc_id bigint, part int, start_token int, n_tokens int"
 
 
-def pack_documents(sizes: DataFrame, capacities: DataFrame, documents: int | None = None, attention: float = 1.0, rule: str = "norm", group_items: int = GROUP_ITEMS) -> DataFrame:
+def pack_documents(sizes: DataFrame, capacities: DataFrame, documents: int | None = None, attention: float = 1.0, document_share: float = 1.0, rule: str = "norm", group_items: int = GROUP_ITEMS) -> DataFrame:
     """``container_kind, container_id, slot, doc_id, part, start_token, n_tokens`` for every kind.
 
     ``sizes`` has ``doc_id`` and ``n_tokens``; ``capacities`` has ``container_kind`` and
     ``capacity_tokens`` (null and values below 1 are no containers).  ``documents`` limits the
-    documents in a container (as many as tokens by default), ``attention`` its sum of squares as a
-    share of the square of the capacity.  With the defaults only the tokens constrain (and the
-    documents, for texts of 0 tokens).  Texts without tokens are packed as items of size 0, null
-    sizes count as 0, and every row is packed once for each kind, repeated ids too.
+    documents in a container, or else ``document_share`` of its tokens does; ``attention`` limits its
+    sum of squares, as a share of the square of the capacity.  A piece whose own square is beyond that
+    is alone in its container, whatever stands in its group, as it is split only beyond the tokens.
+    With the defaults only the tokens constrain (and the documents, for texts of 0 tokens).  Texts
+    without tokens are packed as items of size 0, null sizes count as 0, and every row is packed once
+    for each kind, repeated ids too.
     """
     kinds = capacities.select("container_kind", F.col("capacity_tokens").cast("int").alias("cap")).filter("cap >= 1")
     items, _ = write_table(sizes.select("doc_id", F.greatest(F.coalesce(F.col("n_tokens"), F.lit(0)), F.lit(0)).cast("int").alias("n")).withColumn("rid", F.monotonically_increasing_id()), "sizes")
@@ -94,7 +99,7 @@ def pack_documents(sizes: DataFrame, capacities: DataFrame, documents: int | Non
         full = n // cap
         full = np.where((n > cap) & (n % cap == 0), full - 1, np.where(n > cap, full, 0))  # the rest is never empty
         rest = n - full * cap
-        bins = best_fit(rest, cap, documents or cap, int(max(attention * cap * cap, 1)) if attention >= 1 else max(int(attention * cap * cap), int(rest.max(initial=1)) ** 2), rule)
+        bins = best_fit(rest, cap, documents or max(1, int(document_share * cap)), int(attention * cap * cap), rule)
         first_full = int(bins.max(initial=-1)) + 1
         owner = np.repeat(np.arange(len(n)), full)
         piece = np.arange(len(owner)) - np.repeat(np.cumsum(full) - full, full)

@@ -2,7 +2,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ledgerfold.llm.lookalike import LOOK_ALIKES, Model, count_bigrams, equal_looking, look, plain_form
+from ledgerfold.llm.lookalike import LOOK_ALIKES, Model, count_bigrams, equal_looking, look, look_classes, plain_form
 from ledgerfold.llm.markup import clean, clean_markup, find_markup, languages, max_flow_side
 
 MODEL = Model(count_bigrams(["We present a calibrated model for sparse lecture notes and pose tracking in the wild."] * 20 + ["модель системы распознавания речи и текста"] * 20))
@@ -43,6 +43,15 @@ def test_pairs(spark):
     assert equal_looking(df.limit(0), "id", {"title": "title"}).count() == 0
 
 
+def test_classes(spark):
+    """A class for every row; copies of one string and rows of another look stand apart."""
+    rows = [(1, "The model"), (2, "Th\u0435 model"), (3, "The model"), (5, "Other"), (6, None), (7, " "), (8, "Other")]
+    df = spark.createDataFrame(rows, "class_id bigint, title string")
+    got = {tuple(r) for r in look_classes(df, "class_id", {"title": "title"}).toDF("f", "k", "c", "n", "m").collect()}
+    assert got == {("title", 1, 1, 3, 2), ("title", 2, 1, 3, 2), ("title", 3, 1, 3, 2), ("title", 5, 5, 2, 1), ("title", 8, 5, 2, 1)}
+    assert look_classes(df.limit(0), "class_id", {"title": "title"}).count() == 0
+
+
 MARKUP = [
     ("<p>Text</p>", ["html"]), ("a &lt;em&gt; b", ["html"]), ("<!-- x --> y", ["html"]), ("costs $5, saves $10 on it", []), ("5 < 6 and 7 > 3", []), ("R&D in C# and C++", []), ("see [3] and [7]", []), ("A == B", []), ("3 * 4 * 5", []), ("run_final_v2 and run_final_v3", []), ("about ~5 runs", []), ("a star (*) marks", []), ("3/5 # of raters {five}", []), ("users' choice, not 'ours'", []),
     ("a **b** c", ["markdown"]), ("*a b* c", ["markdown"]), ("[a](https://x.example/y)", ["markdown"]), ("# Title\n\nText", ["markdown"]), ("Overview\n========\n\nText", ["markdown"]), ("x\n\n```\ncode\n```", ["markdown"]), ("x\n\n- a\n- b", ["markdown"]), ("x\n\n1. a\n2. b", ["markdown"]), ("__a__ b", ["markdown"]), ("(`f(x)`) y", ["markdown"]),

@@ -75,6 +75,26 @@ def test_packing(spark):
     assert pack_documents(df.limit(0), caps).count() == 0 and pack_documents(df, caps.limit(0)).count() == 0
 
 
+def test_three_capacities_bind(spark):
+    """Token-only packing breaks the other capacities on these sizes; bounded packing keeps them, in every group."""
+    sizes = [(i, n) for i, n in enumerate([60, 60, 40, 40, 30, 30, 20, 20, 10, 10, 5, 5, 90, 100, 250] + [1] * 40)]
+    df = spark.createDataFrame(sizes, "doc_id bigint, n_tokens int")
+    caps = spark.createDataFrame([("c", 100)], "container_kind string, capacity_tokens int")
+
+    def boxes(**limits):
+        out = {}
+        for r in pack_documents(df, caps, **limits).collect():
+            out.setdefault(r["container_id"], []).append(r["n_tokens"])
+        return list(out.values())
+
+    keeps = lambda b: sum(b) <= 100 and len(b) <= 5 and (len(b) == 1 or sum(n * n for n in b) <= 2500)
+    assert not all(map(keeps, boxes()))
+    for groups in (1000, 7):
+        got = boxes(document_share=0.05, attention=0.25, group_items=groups)
+        assert all(map(keeps, got)) and sum(map(sum, got)) == sum(n for _, n in sizes)
+        assert sorted(len(b) for b in got if sum(n * n for n in b) > 2500) == [1] * 6  # 60, 60, 90, 100 and two full pieces
+
+
 @given(st.text(alphabet="abc", min_size=1, max_size=7), st.integers(0, 2))
 @settings(max_examples=200, deadline=None)
 def test_automaton_equals_the_distance(word, most):
