@@ -36,7 +36,6 @@ _BLOCKS = ((0x41, 0x250, "L"), (0x250, 0x2B0, "L"), (0x370, 0x400, "G"), (0x400,
 _CANDIDATES = {x: (latin, *others) for latin, others in LOOK_ALIKES.items() for x in (latin, *others)}
 #: Price of a change of script, beyond any sum of bigrams in a run, and of a bigram never seen.
 _CHANGE, _NEW = -1e7, -8.0
-_SPACE = re.compile(r"\s+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _MARK = re.compile(r"[̀-ͯ]+")
 _DROP = {0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0, *range(0x180B, 0x1810), *range(0xFE00, 0xFE10)}
@@ -68,7 +67,7 @@ def plain_form(text: str) -> str:
     """Compatibility normalization and deletion of ignorable characters; blanks as one space."""
     if not text.isascii():
         text = unicodedata.normalize("NFC", "".join(map(_compatible, text)))
-    return _SPACE.sub(" ", text).strip()
+    return " ".join(text.split())
 
 
 def count_bigrams(texts: list[str | None]) -> Counter:
