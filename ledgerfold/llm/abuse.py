@@ -137,6 +137,11 @@ class Trie:
         return sorted(out)
 
 
+def _mask(word: str) -> int:
+    """The letters of a word as bits; some letters share one."""
+    return sum(1 << b for b in {ord(c) % 61 for c in word})
+
+
 def _shortened(word: str, most: int) -> set[str]:
     """The word with up to ``most`` letters left out."""
     out = last = {word}
@@ -166,6 +171,7 @@ class Lexicon:
         self.trie = Trie(self.words)
         #: words within d edits share a form with up to d letters left out, so only words with one go to the trie
         self.forms = [set().union(*(_shortened(w, d) for w in self.words)) for d in range(max(EDITS.values()) + 1)]
+        self.masks, self.lengths = np.array([_mask(w) for w in self.words], np.int64), np.array([len(w) for w in self.words])
         self.squeezed: dict[str, str] = {}
         for w in sorted(w for w in self.words if len(set(w)) > 1):
             self.squeezed.setdefault(_squeeze(w), w)
@@ -199,6 +205,11 @@ class Lexicon:
             return hit if hit in self.words else self._plain_word(raw[1:])
         return self._plain_word(raw)
 
+    def _may_be_near(self, word: str, most: int) -> bool:
+        """Whether some term has about the word's letters: an edit changes the length by one and the set of letters by two at most."""
+        apart = np.bitwise_count(self.masks ^ _mask(word)) <= 2 * most
+        return bool((apart & (np.abs(self.lengths - len(word)) <= most)).any())
+
     def _plain_word(self, raw: str) -> str:
         low = _base(raw).replace("’", "'")
         if low in self.words:
@@ -223,7 +234,7 @@ class Lexicon:
             if plain in self.known:
                 return low
         most = next((d for n, d in EDITS.items() if len(plain) >= n), 0)
-        if not most or self.forms[most].isdisjoint(_shortened(plain, most)):
+        if not most or not self._may_be_near(plain, most) or self.forms[most].isdisjoint(_shortened(plain, most)):
             return low
         near = sorted((d, w[0] != plain[0], w) for d, w in self.trie.within(plain, most, swaps=True) if d <= next((e for n, e in EDITS.items() if len(w) >= n - 1), 0))
         return near[0][2] if near else low
